@@ -18,9 +18,11 @@ def missing_periods(wanted: DataFrame, loaded: DataFrame) -> DataFrame:
 def month_range(frame: DataFrame, first: str, last: str) -> DataFrame:
     """(year, month) rows from the date ``first`` to ``last`` of each input row."""
     start, end = F.trunc(first, "month"), F.trunc(last, "month")
-    # A sequence counts down when its end comes first; such a range is empty.
-    months = frame.filter(start <= end).select(
-        F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH"))).alias("_month")
+    months = frame.select(
+        F.explode(
+            # A range whose end comes first is empty; a sequence would raise.
+            F.when(start <= end, F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))
+        ).alias("_month")
     )
     return months.select(F.year("_month").alias("year"), F.month("_month").alias("month"))
 

@@ -1,0 +1,270 @@
+"""Cleaning and features of trips."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodestrata.operators.contract import conform, rename_existing
+from lodestrata.operators.rules import cleaning_report, split_valid
+from lodestrata.plans.trips import (
+    TRIP_KEYS,
+    TRIP_RULES,
+    TRIPS,
+    clean_trips,
+    daily_trip_metrics,
+    location_hourly_features,
+    trip_weather_daily,
+)
+from tests.conftest import SILVER_TYPES
+
+
+def test_names_types_and_derived_columns(raw_trips):
+    df = clean_trips(raw_trips(), 2024, 12)
+    types = dict(df.dtypes)
+    assert types["vendor_id"] == "int" and "VendorID" not in types
+    assert types["pickup_datetime"] == "timestamp"
+    assert types["pickup_date"] == "date"
+    row = df.filter("vendor_id = 1").first()
+    assert row.trip_duration_minutes == 15.0
+    assert (row.pickup_hour, row.pickup_day_of_week) == (8, 1)
+    assert (row.taxi_type, row.year, row.month) == ("yellow", 2024, 12)
+    assert df.count() == 2
+
+
+def test_rename_existing(raw_trips):
+    df = rename_existing(raw_trips(), {"vendorid": "vendor_id", "absent": "other"})
+    assert "vendor_id" in df.columns and "other" not in df.columns
+
+
+def test_optional_columns(raw_trips):
+    old = raw_trips().drop("congestion_surcharge", "airport_fee", "improvement_surcharge")
+    row = clean_trips(old, 2024, 12).first()
+    assert (row.congestion_surcharge, row.airport_fee) == (0.0, 0.0)
+    assert row.improvement_surcharge is None
+
+
+def test_capitalised_column_keeps_its_values(raw_trips):
+    raw = raw_trips({"airport_fee": 1.75}).withColumnRenamed("airport_fee", "Airport_fee")
+    assert conform(raw, TRIPS).first().airport_fee == 1.75
+
+
+def test_extra_columns_pass_and_missing_ones_are_named(raw_trips):
+    assert "note" in conform(raw_trips().withColumn("note", F.lit(1)), TRIPS).columns
+    with pytest.raises(ValueError, match="fare_amount"):
+        conform(raw_trips().drop("fare_amount"), TRIPS)
+
+
+def test_unreadable_text_rejects_the_row(raw_trips):
+    raw = raw_trips().withColumn(
+        "fare_amount", F.when(F.col("VendorID") == 1, "n/a").otherwise("12.5")
+    )
+    assert [r.fare_amount for r in clean_trips(raw, 2024, 12).collect()] == [12.5]
+
+
+@pytest.mark.parametrize(
+    "inside, outside",
+    [
+        ({"trip_distance": 0.0}, {"trip_distance": -5.0}),
+        ({"trip_distance": 500.0}, {"trip_distance": 500.1}),
+        ({"fare_amount": -10.0}, {"fare_amount": -10.01}),
+        ({"fare_amount": 10000.0}, {"fare_amount": 10000.01}),
+        ({"total_amount": -10.0}, {"total_amount": -10.01}),
+        ({"total_amount": 10000.0}, {"total_amount": 10000.01}),
+        ({"passenger_count": 0}, {"passenger_count": -1}),
+        ({"passenger_count": 9}, {"passenger_count": 10}),
+        ({"PULocationID": 1}, {"PULocationID": 0}),
+        ({"PULocationID": 263}, {"PULocationID": 264}),
+        ({"DOLocationID": 1}, {"DOLocationID": 0}),
+        ({"DOLocationID": 263}, {"DOLocationID": 264}),
+        ({}, {"tpep_dropoff_datetime": "2024-12-15 08:30:00"}),
+        ({}, {"tpep_pickup_datetime": None}),
+        ({}, {"tpep_dropoff_datetime": None}),
+        ({}, {"trip_distance": None}),
+        ({}, {"fare_amount": None}),
+        ({}, {"total_amount": None}),
+        ({}, {"passenger_count": None}),
+        ({}, {"PULocationID": None}),
+        ({}, {"DOLocationID": None}),
+        ({"tpep_pickup_datetime": "2024-12-01 00:00:00"},
+         {"tpep_pickup_datetime": "2002-12-15 08:30:00"}),
+    ],
+)
+def test_each_bound(raw_trips, inside, outside):
+    kept = clean_trips(raw_trips(inside, outside), 2024, 12).collect()
+    assert len(kept) == 1
+
+
+def test_rejected_rows_name_their_rules(raw_trips):
+    good, bad = split_valid(
+        conform(raw_trips({}, {"trip_distance": -1.0, "passenger_count": None}), TRIPS),
+        TRIP_RULES,
+    )
+    assert good.count() == 1
+    assert bad.first().failed_rules == ["trip_distance_range", "passenger_count_range"]
+
+
+def test_exact_copies_collapse_and_null_keys_match(raw_trips):
+    assert clean_trips(raw_trips({}, {}), 2024, 12).count() == 1
+    assert clean_trips(raw_trips({"VendorID": None}, {"VendorID": None}), 2024, 12).count() == 1
+
+
+def test_ordered_survivor(raw_trips):
+    raw = raw_trips({"tip_amount": 1.0}, {"tip_amount": 7.0}, {"tip_amount": 3.0})
+    kept = clean_trips(raw, 2024, 12, order=[F.desc("tip_amount")])
+    assert [r.tip_amount for r in kept.collect()] == [7.0]
+
+
+def test_one_key_with_most_rows(spark, raw_trips):
+    """Copies of one trip are two thirds of the input."""
+    raw = raw_trips({})
+    copies = raw.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("_i")
+    others = (
+        raw.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(10_000))))
+        .withColumn("trip_distance", F.col("_i") / 100.0)
+        .filter("trip_distance <> 3.5")
+        .drop("_i")
+    )
+    assert clean_trips(copies.union(others), 2024, 12).count() == 10_000
+
+
+def test_cleaning_twice_changes_nothing(raw_trips):
+    once = clean_trips(raw_trips({}, {}, {"passenger_count": 5, "VendorID": 2}), 2024, 12)
+    again = clean_trips(once, 2024, 12).select(once.columns)
+    assert sorted(map(str, once.collect())) == sorted(map(str, again.collect()))
+
+
+def test_cleaning_report(raw_trips):
+    raw = raw_trips({}, {}, {"trip_distance": -1.0}, {"tpep_pickup_datetime": "2002-07-04 01:00:00"})
+    report = cleaning_report(
+        conform(raw, TRIPS), TRIP_RULES, "pickup_datetime", 2024, 12, TRIP_KEYS
+    ).first()
+    assert report.asDict() == {
+        "rows_in": 4,
+        "invalid": 1,
+        "out_of_period": 1,
+        "duplicates": 1,
+        "rows_out": 1,
+        "invalid_pct": 25.0,
+    }
+
+
+def test_session_zone_does_not_shift_parquet_times(spark, raw_trips, scratch):
+    raw = raw_trips().withColumns(
+        {
+            c: F.col(c).cast("timestamp_ntz")
+            for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")
+        }
+    )
+    raw.write.parquet(scratch + "/t")
+    row = clean_trips(spark.read.parquet(scratch + "/t"), 2024, 12).filter("vendor_id=1").first()
+    assert (row.pickup_hour, row.trip_duration_minutes) == (8, 15.0)
+
+
+# --- features ------------------------------------------------------------------
+
+
+@pytest.fixture
+def silver_weather(spark):
+    return spark.createDataFrame(
+        [("2024-12-15", 5.0, 41.0, 2.0, 8.0, 0.0, 3.0, False, False)],
+        "date string, temp_avg_celsius double, temp_avg_fahrenheit double, "
+        "temp_min_celsius double, temp_max_celsius double, precip_total_mm double, "
+        "wind_avg_ms double, is_rainy boolean, is_snowy boolean",
+    )
+
+
+def test_daily_features(silver_trips, silver_weather):
+    df = trip_weather_daily(silver_trips, silver_weather, 2024, 12)
+    row = df.first().asDict()
+    expected = {
+        "pickup_date": dt.date(2024, 12, 15),
+        "total_trips": 3,
+        "total_passengers": 6,
+        "avg_trip_distance": 3.0,
+        "avg_trip_duration_min": 12.0,
+        "avg_fare": 12.0,
+        "avg_tip": 2.0,
+        "total_revenue": 46.0,
+        "avg_total_amount": 15.33,
+        "avg_tip_percentage": 13.33,
+        "credit_card_trips": 2,
+        "cash_trips": 1,
+        "morning_rush_trips": 2,
+        "evening_rush_trips": 1,
+        "late_night_trips": 0,
+        "day_of_week": 1,
+        "is_weekend": True,
+        "temp_avg_celsius": 5.0,
+        "temp_avg_fahrenheit": 41.0,
+        "temp_min_celsius": 2.0,
+        "temp_max_celsius": 8.0,
+        "precip_total_mm": 0.0,
+        "wind_avg_ms": 3.0,
+        "is_rainy": False,
+        "is_snowy": False,
+        "year": 2024,
+        "month": 12,
+    }
+    assert row == expected
+    assert df.columns == list(expected)
+    assert df.count() == 1
+
+
+def test_days_without_weather_stay(silver_trips, silver_weather):
+    row = trip_weather_daily(silver_trips, silver_weather.limit(0), 2024, 12).first()
+    assert row.total_trips == 3 and row.temp_avg_celsius is None and row.is_rainy is None
+
+
+def test_zero_fares_are_left_out_of_the_tip_share(spark):
+    trips = spark.createDataFrame(
+        [
+            ("2024-12-15", 23, 1, 1, 1, 1.0, 1.0, 0.0, 5.0, 5.0, 3),
+            ("2024-12-15", 5, 1, 1, 1, 1.0, 1.0, 10.0, 1.0, 11.0, 3),
+        ],
+        SILVER_TYPES,
+    )
+    row = daily_trip_metrics(trips).first()
+    assert row.avg_tip_percentage == 10.0
+    assert row.late_night_trips == 2
+
+
+def test_other_months_stay_out(silver_trips, silver_weather):
+    assert trip_weather_daily(silver_trips, silver_weather, 2024, 11).count() == 0
+    assert location_hourly_features(silver_trips, 2024, 11).count() == 0
+
+
+def test_hourly_features(spark):
+    trips = spark.createDataFrame(
+        [
+            ("2024-12-15", 8, 100, 200, 1, 2.0, 10.0, 10.0, 2.0, 12.0, 1),
+            ("2024-12-15", 8, 100, 201, 1, 4.0, 20.0, 20.0, 4.0, 24.0, 1),
+            ("2024-12-15", 8, 999, 200, 1, 1.0, 5.0, 5.0, 0.0, 5.0, 2),
+        ],
+        SILVER_TYPES,
+    )
+    df = location_hourly_features(trips, 2024, 12)
+    zone = df.filter("pickup_location_id = 100").first()
+    assert (zone.trip_count, zone.avg_distance, zone.total_revenue) == (2, 3.0, 36.0)
+    assert (zone.unique_destinations, zone.time_of_day) == (2, "morning_rush")
+    assert df.filter("pickup_location_id = 999").first().trip_count == 1
+
+
+def test_partition_columns_prune_files(spark, silver_trips, scratch):
+    dated = silver_trips.withColumns({"year": F.lit(2024), "month": F.lit(12)})
+    dated.write.partitionBy("year", "month").parquet(scratch + "/s")
+    stored = spark.read.parquet(scratch + "/s")
+    plan = location_hourly_features(stored, 2024, 12)._jdf.queryExecution().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "month" in filters
+
+
+def test_no_python_and_no_single_task_exchange(silver_trips, silver_weather, raw_trips):
+    for df in (
+        clean_trips(raw_trips(), 2024, 12),
+        trip_weather_daily(silver_trips, silver_weather, 2024, 12),
+        location_hourly_features(silver_trips, 2024, 12),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "SinglePartition" not in plan
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
