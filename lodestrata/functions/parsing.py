@@ -16,23 +16,36 @@ MISSING_FROM = 999.0
 SCALE = 10.0
 
 # A cast alone would also read 'NaN', '12d' and '0x1p3' as numbers.
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 
 def to_number(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Decimal text to double, anything else to null.  Text that does not match
+    extracts as '', which casts to null: the text is looked at once."""
+    return F.regexp_extract(text, _NUMBER, 1).try_cast("double")
+
+
+def _text(packed: Column, position: int) -> Column:
+    """Field ``position`` (from 0) as text; '' when there is none."""
+    return F.split_part(packed, F.lit(","), F.lit(position + 1))
 
 
 def _field(packed: Column, position: int) -> Column:
-    """Field ``position`` (from 0) unscaled; null when the text is too short."""
-    return to_number(F.get(F.split(packed, ","), position)) / SCALE
+    """Field ``position`` unscaled; null when the text is too short."""
+    return to_number(_text(packed, position)) / SCALE
+
+
+def _below_missing(value: Column) -> Column:
+    """The value, null from 999 on.  Unlike a ``when`` over the value, this does
+    not parse it twice."""
+    return F.nullif(F.least(value, F.lit(MISSING_FROM)), F.lit(MISSING_FROM))
 
 
 def parse_temperature(packed: Column, strict_sentinel: bool = False) -> Column:
     """'+0123,1' -> 12.3.  Only the exact text '+9999,9' counts as missing;
     ``strict_sentinel`` also drops 9999 readings with any other quality code."""
     if strict_sentinel:
-        known = ~F.get(F.split(packed, ","), 0).isin(*MISSING_TEMPERATURE_DIGITS)
+        known = ~_text(packed, 0).isin(*MISSING_TEMPERATURE_DIGITS)
     else:
         known = packed != MISSING_TEMPERATURE
     return F.when(known, _field(packed, 0))
@@ -43,17 +56,15 @@ def parse_precipitation(packed: Column, period_hours: int | None = None) -> Colu
 
     Reports of different lengths (HH) overlap; ``period_hours`` keeps one length
     and counts the others as 0.0."""
-    depth = _field(packed, 1)
-    usable = depth < MISSING_FROM
+    depth = _below_missing(_field(packed, 1))
     if period_hours is not None:
-        usable = usable & (to_number(F.get(F.split(packed, ","), 0)) == period_hours)
-    return F.when(usable, depth).otherwise(0.0)
+        depth = F.when(to_number(_text(packed, 0)) == period_hours, depth)
+    return F.coalesce(depth, F.lit(0.0))
 
 
 def parse_wind(packed: Column) -> Column:
     """'angle,q,type,SSSS,q' -> metres per second, null when unusable."""
-    speed = _field(packed, 3)
-    return F.when(speed < MISSING_FROM, speed)
+    return _below_missing(_field(packed, 3))
 
 
 def parse_observed_at(text: Column) -> Column:

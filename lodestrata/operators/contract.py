@@ -64,11 +64,10 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
         found = next((present[n.lower()] for n in names if n.lower() in present), None)
         if found is not None:
             taken.add(found)
-            value = F.col(f"`{found}`")
             # No cast for a column of the right type keeps filters on it pushable.
-            if types[found] != rule.type:
-                value = value.try_cast(rule.type)
-            out.append(value.alias(rule.target))
+            cast = f"try_cast(`{found}` AS {rule.type})"
+            value = f"`{found}`" if types[found] == rule.type else cast
+            out.append(F.expr(f"{value} AS {rule.target}"))
         elif rule.required:
             missing.append("/".join(names))
         else:

@@ -20,11 +20,10 @@ class Rule:
     condition: str
     allow_null: str | None = None
 
-    def holds(self) -> Column:
-        condition = F.expr(self.condition)
+    def text(self) -> str:
         if self.allow_null:
-            condition = F.col(self.allow_null).isNull() | condition
-        return condition
+            return f"({self.allow_null} IS NULL OR {self.condition})"
+        return f"({self.condition})"
 
 
 def between(column: str, low: float, high: float, allow_null: bool = False) -> Rule:
@@ -45,10 +44,7 @@ def later_than(later: str, earlier: str) -> Rule:
 
 
 def all_hold(rules: Sequence[Rule]) -> Column:
-    condition = F.lit(True)
-    for rule in rules:
-        condition = condition & rule.holds()
-    return condition
+    return F.expr(" AND ".join(rule.text() for rule in rules) or "true")
 
 
 def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -57,13 +53,11 @@ def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Accepted rows, and rejected rows with ``failed_rules`` naming why."""
-    broken = F.array_compact(
-        F.array(
-            *(F.when(~F.coalesce(r.holds(), F.lit(False)), F.lit(r.name)) for r in rules)
-        )
-    )
+    names = ", ".join(f"IF({r.text()}, NULL, '{r.name}')" for r in rules)
     rejected = df.filter(~F.coalesce(all_hold(rules), F.lit(False)))
-    return valid_rows(df, rules), rejected.withColumn("failed_rules", broken)
+    return valid_rows(df, rules), rejected.withColumn(
+        "failed_rules", F.expr(f"array_compact(array({names}))")
+    )
 
 
 def within(column: str, year: int, month: int | None = None) -> Column:

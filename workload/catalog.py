@@ -61,8 +61,9 @@ def _silver_weather(spark: SparkSession, sf: str) -> DataFrame:
     return weather.clean_weather(_daily(spark, sf), YEAR)
 
 
-def _gold(spark: SparkSession, sf: str) -> DataFrame:
-    return trips.trip_weather_daily(_silver(spark, sf), _silver_weather(spark, sf), YEAR, MONTH)
+def _gold(spark: SparkSession, sf: str, silver: DataFrame | None = None) -> DataFrame:
+    silver = _silver(spark, sf) if silver is None else silver
+    return trips.trip_weather_daily(silver, _silver_weather(spark, sf), YEAR, MONTH)
 
 
 def _naive(df: DataFrame) -> DataFrame:
@@ -433,7 +434,8 @@ def unexpected_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cross_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {"bronze": trips_raw(spark, sf), "silver": _silver(spark, sf)}
+    raw = trips_raw(spark, sf)
+    tables = {"bronze": raw, "silver": trips.clean_trips(raw, YEAR, MONTH)}
     return _verdicts(
         c.run_checks(tables, [c.cross_layer_counts()], "silver", "trips", YEAR, MONTH)
     )
@@ -460,9 +462,9 @@ def suite_silver_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def suite_gold(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _verdicts(
-        suites.gold_checks(_gold(spark, sf), _silver(spark, sf), YEAR, MONTH, SMALL)
-    )
+    silver = _silver(spark, sf)
+    gold = _gold(spark, sf, silver)
+    rows = _verdicts(suites.gold_checks(gold, silver, YEAR, MONTH, SMALL))
     # The mean of rounded means depends on the order of the days in its last bits.
     return rows.withColumn("metric_value", F.round("metric_value", 9))
 

@@ -7,9 +7,7 @@ of the rows and both engines agree to the last bit.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 YEAR, MONTH = 2024, 1
@@ -19,103 +17,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(cases: list[tuple[Column, object]], otherwise: object) -> Column:
-    first, *rest = cases
-    chosen = reduce(lambda w, c: w.when(*c), rest, F.when(*first))
-    return chosen.otherwise(otherwise)
-
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips, every fiftieth twice, with rows each rule rejects, stray years,
     unreadable rate codes, no airport fee and one capitalised column."""
-    event = F.col("event_id")
-    fares = _pick(
-        [(_every(53), 0.0), (_every(59), -20.0), (_every(61), 12000.0)],
-        F.floor(F.col("value") * 4) / 4.0,
-    )
-    copies = F.when(_every(50), F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    pickup = F.when(_every(97), F.col("ts") - F.expr("INTERVAL 22 YEARS")).otherwise(F.col("ts"))
-    base = table(spark, sf_dir, "events").select(
+    rides = table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        _k().alias("k"),
-        pickup.alias("pickup"),
-        fares.alias("fare"),
-        F.explode(copies).alias("copy"),
-    )
-    tip = F.greatest(F.col("fare"), F.lit(0.0)) * (event % 5) * 0.25
-    ride = F.expr(
-        "make_dt_interval(0, 0, k - 3, CAST((event_id % 4) * 15 AS DECIMAL(18, 6)))"
+        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "IF(event_id % 97 = 0, ts - INTERVAL 22 YEARS, ts) AS pickup",
+        """CASE WHEN event_id % 53 = 0 THEN 0.0D WHEN event_id % 59 = 0 THEN -20.0D
+                WHEN event_id % 61 = 0 THEN 12000.0D ELSE floor(value * 4) / 4.0D END AS fare""",
+        "greatest(0.0D, fare) * (event_id % 5) * 0.25D AS tip",
+        "explode(IF(event_id % 50 = 0, array(1, 2), array(1))) AS copy",
     )
-    return base.select(
-        (event % 2 + 1).alias("VendorID"),
-        F.col("pickup").alias("tpep_pickup_datetime"),
-        (F.col("pickup") + ride).alias("tpep_dropoff_datetime"),
-        F.when(~_every(83), event % 11).alias("passenger_count"),
-        (F.col("k") * 6.0).alias("trip_distance"),
-        F.when(_every(41), "n/a").otherwise((event % 6 + 1).cast("string")).alias("RatecodeID"),
-        F.when(_every(10), "Y").otherwise("N").alias("store_and_fwd_flag"),
-        ((F.col("user_id") * 17 + event) % 270).alias("PULocationID"),
-        ((F.col("user_id") * 7 + event) % 270).alias("DOLocationID"),
-        _pick(
-            [
-                (F.col("event_type").isin("purchase", "click"), 1),
-                (F.col("event_type") == "view", 2),
-                (F.col("event_type") == "signup", 3),
-            ],
-            4,
-        ).alias("payment_type"),
-        F.col("fare").alias("fare_amount"),
-        ((event % 3) * 0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        tip.alias("tip_amount"),
-        F.when(_every(7), 6.5).otherwise(0.0).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (F.col("fare") + tip).alias("total_amount"),
-        F.lit(2.5).alias("Congestion_Surcharge"),
+    return rides.selectExpr(
+        "event_id % 2 + 1 AS VendorID",
+        "pickup AS tpep_pickup_datetime",
+        """pickup + make_dt_interval(0, 0, k - 3, CAST((event_id % 4) * 15 AS DECIMAL(18, 6)))
+               AS tpep_dropoff_datetime""",
+        "IF(event_id % 83 <> 0, event_id % 11, NULL) AS passenger_count",
+        "k * 6.0D AS trip_distance",
+        "IF(event_id % 41 = 0, 'n/a', CAST(event_id % 6 + 1 AS string)) AS RatecodeID",
+        "IF(event_id % 10 = 0, 'Y', 'N') AS store_and_fwd_flag",
+        "(user_id * 17 + event_id) % 270 AS PULocationID",
+        "(user_id * 7 + event_id) % 270 AS DOLocationID",
+        """CASE WHEN event_type IN ('purchase', 'click') THEN 1 WHEN event_type = 'view' THEN 2
+                WHEN event_type = 'signup' THEN 3 ELSE 4 END AS payment_type""",
+        "fare AS fare_amount",
+        "(event_id % 3) * 0.5D AS extra",
+        "0.5D AS mta_tax",
+        "tip AS tip_amount",
+        "IF(event_id % 7 = 0, 6.5D, 0.0D) AS tolls_amount",
+        "1.0D AS improvement_surcharge",
+        "fare + tip AS total_amount",
+        "2.5D AS Congestion_Surcharge",
     )
 
 
 def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw observations with missing, short and unreadable fields, whole days
     without temperature (gaps) and one day of wrongly marked missing values."""
-    event, day = F.col("event_id"), F.dayofmonth("ts")
-
-    def digits(n: Column) -> Column:
-        return F.lpad(n.cast("string"), 4, "0")
-
-    tenths = ((event * 7) % 140 - (day % 6) * 20) * 5
-    sign = F.when(tenths < 0, "-").otherwise("+")
-    wind = F.concat(F.lit("090,1,N,"), digits((_k() % 40) * 5), F.lit(",1"))
-    depth = F.when(day % 4 == 0, F.lit(0)).otherwise(_k() * 5)
-    return table(spark, sf_dir, "events").select(
+    read = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "ts",
+        "day(ts) AS d",
+        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "((event_id * 7) % 140 - (d % 6) * 20) * 5 AS tenths",
+    )
+    return read.selectExpr(
         "event_id",
-        F.when(_every(101), "no date")
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-        .alias("DATE"),
-        _pick(
-            [
-                (day == 20, "+9999,1"),
-                (day % 9 == 0, "+9999,9"),
-                (_every(40), "+9999,9"),
-                (_every(71), "12d,1"),
-            ],
-            F.concat(sign, digits(F.abs(tenths)), F.lit(",1")),
-        ).alias("TMP"),
-        _pick([(_every(61), "090,1"), (_every(67), "090,1,N,9999,9")], wind).alias("WND"),
-        _pick(
-            [(_every(6), "01"), (_every(3), F.concat(F.lit("01,"), digits(depth), F.lit(",1,1")))],
-            None,
-        ).alias("AA1"),
+        """IF(event_id % 101 = 0, 'no date', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) AS DATE""",
+        """CASE WHEN d = 20 THEN '+9999,1' WHEN d % 9 = 0 THEN '+9999,9'
+                WHEN event_id % 40 = 0 THEN '+9999,9' WHEN event_id % 71 = 0 THEN '12d,1'
+                ELSE concat(IF(tenths < 0, '-', '+'), lpad(abs(tenths), 4, '0'), ',1')
+           END AS TMP""",
+        """CASE WHEN event_id % 61 = 0 THEN '090,1' WHEN event_id % 67 = 0 THEN '090,1,N,9999,9'
+                ELSE concat('090,1,N,', lpad((k % 40) * 5, 4, '0'), ',1') END AS WND""",
+        """CASE WHEN event_id % 6 = 0 THEN '01' WHEN event_id % 3 = 0
+                THEN concat('01,', lpad(IF(d % 4 = 0, 0, k * 5), 4, '0'), ',1,1') END AS AA1""",
     )
 
 
