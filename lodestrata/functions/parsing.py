@@ -15,19 +15,15 @@ MISSING_TEMPERATURE_DIGITS = ("+9999", "-9999", "9999")
 MISSING_FROM = 999.0
 SCALE = 10.0
 
-# A cast alone would also read 'NaN', '12d' and '0x1p3' as numbers.
-_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
-
-
 def to_number(text: Column) -> Column:
-    """Decimal text to double, anything else to null.  Text that does not match
-    extracts as '', which casts to null: the text is looked at once."""
-    return F.regexp_extract(text, _NUMBER, 1).try_cast("double")
+    """Decimal text to double, anything else to null.  By way of a decimal, as a
+    cast to double would also read 'NaN', '12d' and '0x1p3'."""
+    return text.try_cast("decimal(18, 6)").cast("double")
 
 
 def _text(packed: Column, position: int) -> Column:
-    """Field ``position`` (from 0) as text; '' when there is none."""
-    return F.split_part(packed, F.lit(","), F.lit(position + 1))
+    """Field ``position`` (from 0) as text; null when there is none."""
+    return F.get(F.split(packed, ","), position)
 
 
 def _field(packed: Column, position: int) -> Column:

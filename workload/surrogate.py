@@ -24,7 +24,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "user_id",
         "event_type",
-        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "CAST(trim(BOTH '{\"k: }' FROM props) AS int) AS k",
         "IF(event_id % 97 = 0, ts - INTERVAL 22 YEARS, ts) AS pickup",
         """CASE WHEN event_id % 53 = 0 THEN 0.0D WHEN event_id % 59 = 0 THEN -20.0D
                 WHEN event_id % 61 = 0 THEN 12000.0D ELSE floor(value * 4) / 4.0D END AS fare""",
@@ -62,7 +62,7 @@ def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "ts",
         "day(ts) AS d",
-        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "CAST(trim(BOTH '{\"k: }' FROM props) AS int) AS k",
         "((event_id * 7) % 140 - (d % 6) * 20) * 5 AS tenths",
     )
     return read.selectExpr(
