@@ -97,6 +97,11 @@ def shift_period(year: int, month: int, by: int) -> tuple[int, int]:
     return index // 12, index % 12 + 1
 
 
+def latest_published(as_of: date, lag: int = 2) -> tuple[int, int]:
+    """(year, month) of the latest month published by ``as_of``."""
+    return shift_period(as_of.year, as_of.month, -lag)
+
+
 def in_any_period(periods: Iterable[tuple[int, int]]) -> Column:
     """Partition predicate: (year, month) is one of ``periods``."""
     pairs = ", ".join(f"({int(y)}, {int(m)})" for y, m in periods)

@@ -15,6 +15,7 @@ MISSING_TEMPERATURE_DIGITS = ("+9999", "-9999", "9999")
 MISSING_FROM = 999.0
 SCALE = 10.0
 
+
 def to_number(text: Column) -> Column:
     """Decimal text to double, anything else to null.  By way of a decimal, as a
     cast to double would also read 'NaN', '12d' and '0x1p3'."""

@@ -20,6 +20,7 @@ from lodestrata.plans.trips import (
     trip_weather_daily,
 )
 from lodestrata.plans.weather import clean_weather, observations_to_daily
+from lodestrata.session import shuffles_sized_for
 from lodestrata.sources.inventory import list_files, loaded_periods
 from lodestrata.sources.lake import (
     Lake,
@@ -82,16 +83,18 @@ def land_weather(
 
 def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> CleaningReport:
     """Clean and write one month of trips in one pass over the raw rows."""
-    raw = _raw_month(spark, lake, year, month)
+    folders, size = _raw_month(spark, lake, year, month)
+    raw = spark.read.parquet(*folders)
     conformed = conform(raw, TRIPS)
     counts = Observation()
     observed = observe_cleaning(conformed, counts, TRIP_RULES, "pickup_datetime", year, month)
-    written = overwrite_partitions(
-        clean_conformed(observed, year, month),
-        lake.table("silver", suites.TRIP_TABLE),
-        lake.path("silver", *suites.TRIP_SOURCE),
-        scope={"year": year, "month": month},
-    )
+    with shuffles_sized_for(spark, size):
+        written = overwrite_partitions(
+            clean_conformed(observed, year, month),
+            lake.table("silver", suites.TRIP_TABLE),
+            lake.path("silver", *suites.TRIP_SOURCE),
+            scope={"year": year, "month": month},
+        )
     seen = counts.get
     # The row count of Parquet files comes from their footers.
     if seen.get("rows_in") == raw.count():
@@ -103,21 +106,27 @@ def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> Clea
             rows_out=written,
         )
     # A stage ran twice and counted twice: count again.
-    exact = cleaning_report(
-        conformed, TRIP_RULES, "pickup_datetime", year, month, TRIP_KEYS
-    ).drop("invalid_pct")
-    return CleaningReport(**exact.first().asDict())
+    return exact_report(conformed, year, month)
 
 
-def _raw_month(spark: SparkSession, lake: Lake, year: int, month: int) -> DataFrame:
-    """The month's raw rows.  Only its directory is opened, ``month=3`` or
-    ``month=03``: schemas differ between months, and Spark takes a dataset's
-    schema from one file."""
+def exact_report(conformed: DataFrame, year: int, month: int) -> CleaningReport:
+    counts = cleaning_report(conformed, TRIP_RULES, "pickup_datetime", year, month, TRIP_KEYS)
+    return CleaningReport(**counts.drop("invalid_pct").first().asDict())
+
+
+def _raw_month(spark: SparkSession, lake: Lake, year: int, month: int) -> tuple[list[str], int]:
+    """Directories and bytes of the month's raw files.  Only that month, written
+    ``month=3`` or ``month=03``, is opened later: schemas differ between months,
+    and Spark takes a dataset's schema from one file."""
     files = in_period(list_files(spark, lake.path("bronze", *suites.TRIP_SOURCE)), year, month)
-    folders = files.select(F.regexp_replace("path", "/[^/]+$", "")).distinct().collect()
+    folders = (
+        files.groupBy(F.regexp_replace("path", "/[^/]+$", "").alias("folder"))
+        .agg(F.sum("length").alias("bytes"))
+        .collect()
+    )
     if not folders:
         raise FileNotFoundError(f"no raw trips of {year}-{month:02d}")
-    return spark.read.parquet(*(row[0] for row in folders))
+    return [f.folder for f in folders], sum(f.bytes for f in folders)
 
 
 def silver_weather(spark: SparkSession, lake: Lake, year: int) -> int:

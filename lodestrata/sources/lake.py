@@ -144,7 +144,7 @@ def overwrite_partitions(
             .saveAsTable(table),
         )
     metrics = seen.get
-    if scope and exists:
+    if scope:
         written = {tuple(str(p[c]) for c in by) for p in metrics.get("partitions", ())}
         _empty_stale(spark, table, by, scope, written)
     return metrics.get("rows", 0)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata.functions import calendar
 from lodestrata.operators import checks as c
 from lodestrata.operators import periods
 from lodestrata.plans import suites
@@ -251,6 +252,21 @@ def pairs(df):
     return sorted((r.year, r.month) for r in df.select("year", "month").collect())
 
 
+@pytest.mark.parametrize(
+    "as_of, expected",
+    [
+        (dt.date(2024, 4, 30), (2024, 2)),
+        (dt.date(2024, 2, 29), (2023, 12)),
+        (dt.date(2024, 1, 1), (2023, 11)),
+        (dt.date(2024, 12, 31), (2024, 10)),
+    ],
+)
+def test_latest_published(spark, as_of, expected):
+    assert calendar.latest_published(as_of) == expected
+    row = spark.range(1).select(calendar.lagged_period(F.lit(as_of)).alias("p")).first()
+    assert (row.p.year, row.p.month) == expected
+
+
 def test_backfill(spark):
     loaded = spark.createDataFrame([(2023, 12), (2023, 12), (2024, 2)], "year int, month int")
     got = periods.backfill_periods(spark, dt.date(2023, 11, 1), dt.date(2024, 5, 31), loaded)

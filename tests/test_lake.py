@@ -6,8 +6,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata.operators.contract import conform
 from lodestrata.plans import suites
-from lodestrata.plans.monthly import QualityError, run_month
+from lodestrata.plans.monthly import QualityError, exact_report, run_month, silver_trips
+from lodestrata.plans.trips import TRIPS
+from lodestrata.session import shuffles_sized_for
 from lodestrata.sources.inventory import file_inventory, list_files
 from lodestrata.sources.lake import (
     Lake,
@@ -81,6 +84,31 @@ def test_scope_of_a_year_drops_months_not_written(spark, scratch):
     assert stored(spark, t) == [(0, 2023, 5), (3, 2024, 2)]
 
 
+def test_a_new_table_over_an_old_path(spark, scratch):
+    """A catalog that starts empty finds the months already there."""
+    frame(spark, (1, 2024, 1), (2, 2024, 2), (3, 2024, 3)).write.partitionBy("year", "month").parquet(
+        scratch + "/t"
+    )
+    t = fresh_name()
+    scope = {"year": 2024, "month": 2}
+    overwrite_partitions(frame(spark, (9, 2024, 2)), t, scratch + "/t", scope=scope)
+    assert stored(spark, t) == [(1, 2024, 1), (3, 2024, 3), (9, 2024, 2)]
+    t = fresh_name()
+    nothing = frame(spark, (9, 2024, 2)).filter("v > 9")
+    overwrite_partitions(nothing, t, scratch + "/t", scope=scope)
+    assert stored(spark, t) == [(1, 2024, 1), (3, 2024, 3)]
+
+
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffles_sized_for(spark, 10**12):
+        assert int(spark.conf.get(key)) > 10_000
+    with shuffles_sized_for(spark, 10):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
 def test_the_session_mode_is_left_alone(spark, scratch):
     key = "spark.sql.sources.partitionOverwriteMode"
     spark.conf.set(key, "static")
@@ -291,6 +319,26 @@ def test_monthly_run(spark, landing):
     assert spark.table(lake.table("gold", "trip_weather_daily")).count() == 31 + 29
 
 
+def test_report_counted_again(spark, landing):
+    """The exact count, used when observed counts are off, gives the same."""
+    root, month, weather = landing
+    lake = lake_of(spark, root)
+    month(2024, 1, 31)
+    out = run_month(spark, lake, 2024, 1, root + "/landing", weather(2024), SMALL)
+    raw = spark.read.parquet(lake.path("bronze", *suites.TRIP_SOURCE, 2024, 1))
+    assert exact_report(conform(raw, TRIPS), 2024, 1) == out.cleaning
+
+
+def test_padded_raw_months_are_found(spark, landing):
+    root, month, _ = landing
+    lake = lake_of(spark, root)
+    lake.create_layers(spark)
+    month(2024, 1, 31)
+    raw = spark.read.parquet(root + "/landing/yellow_tripdata_2024-01.parquet")
+    raw.write.parquet(lake.path("bronze", *suites.TRIP_SOURCE) + "year=2024/month=01")
+    assert silver_trips(spark, lake, 2024, 1).rows_out == 31 * 12
+
+
 def test_a_failed_suite_stops_the_run(spark, landing):
     root, month, weather = landing
     lake = lake_of(spark, root)
