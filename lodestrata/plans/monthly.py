@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.operators.checks import CHECK_SCHEMA
 from lodestrata.operators.contract import conform, tag
 from lodestrata.operators.rules import cleaning_report, in_period, observe_cleaning
 from lodestrata.plans import suites
@@ -169,13 +170,18 @@ def run_month(
     weather_csv: str,
     limits: suites.SuiteLimits = suites.DEFAULTS,
     skip_existing: bool = True,
+    history_table: str | None = None,
 ) -> MonthOutcome:
-    """Raises ``QualityError`` at the first suite that fails."""
+    """Raises ``QualityError`` at the first suite that fails.  Check rows, also of
+    the failed suite, are appended to ``history_table``."""
     outcome = MonthOutcome(year, month)
 
     def check(name: str, suite: Callable[..., list[Row]]) -> None:
         results = suite(spark, lake, year, month, limits)
         outcome.checks[name] = results
+        if history_table:
+            rows = spark.createDataFrame(results, CHECK_SCHEMA)
+            rows.write.mode("append").saveAsTable(history_table)
         if not suites.verdict(results):
             raise QualityError(name, results)
 

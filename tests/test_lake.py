@@ -314,8 +314,16 @@ def test_monthly_run(spark, landing):
     assert hourly.agg(F.sum("trip_count")).first()[0] == silver.count()
     assert gold.agg(F.sum("total_trips")).first()[0] == silver.count()
     # again: landing is skipped, tables do not grow
-    again = run_month(spark, lake, 2024, 2, root + "/landing", csv, SMALL)
+    history = fresh_name()
+    again = run_month(
+        spark, lake, 2024, 2, root + "/landing", csv, SMALL, history_table=history
+    )
     assert again.landed[0]["skipped"]
+    recorded = spark.table(history)
+    assert recorded.count() == sum(len(rows) for rows in again.checks.values())
+    assert {(r.layer, r.month) for r in recorded.select("layer", "month").distinct().collect()} >= {
+        ("silver", 2), ("gold", 2), ("bronze", None),
+    }
     assert spark.table(lake.table("gold", "trip_weather_daily")).count() == 31 + 29
 
 

@@ -250,6 +250,49 @@ def test_hourly_features(spark):
     assert df.filter("pickup_location_id = 999").first().trip_count == 1
 
 
+def test_one_zone_and_hour_with_a_third_of_the_rows(spark):
+    """Against brute force; every shuffle is behind a partial aggregate."""
+    from collections import defaultdict
+
+    n = 9000
+    made = spark.range(n).selectExpr(
+        "IF(id % 3 = 0, '2024-12-15', concat('2024-12-', lpad(id % 28 + 1, 2, '0'))) AS pickup_date",
+        "IF(id % 3 = 0, 8L, id % 24) AS pickup_hour",
+        "IF(id % 3 = 0, 100L, id % 263 + 1) AS pickup_location_id",
+        "id % 97 AS dropoff_location_id",
+        "id % 5 AS passenger_count",
+        "CAST(id % 16 AS double) AS trip_distance",
+        "CAST(id % 60 AS double) AS trip_duration_minutes",
+        "id % 80 / 4.0D AS fare_amount",
+        "id % 8 / 4.0D AS tip_amount",
+        "id % 88 / 4.0D AS total_amount",
+        "id % 3 AS payment_type",
+    )
+    groups = defaultdict(list)
+    for r in made.collect():
+        groups[r.pickup_date, r.pickup_hour, r.pickup_location_id].append(r)
+    expected = {
+        key: (
+            len(rows),
+            sum(r.trip_distance for r in rows) / len(rows),
+            sum(r.total_amount for r in rows),
+            len({r.dropoff_location_id for r in rows}),
+        )
+        for key, rows in groups.items()
+    }
+    features = location_hourly_features(made.repartition(7), 2024, 12)
+    got = {
+        (str(r.pickup_date), r.pickup_hour, r.pickup_location_id): (
+            r.trip_count, r.avg_distance, r.total_revenue, r.unique_destinations,
+        )
+        for r in features.collect()
+    }
+    assert got == expected
+    assert max(v[0] for v in got.values()) >= n // 3
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan
+
+
 def test_partition_columns_prune_files(spark, silver_trips, scratch):
     dated = silver_trips.withColumns({"year": F.lit(2024), "month": F.lit(12)})
     dated.write.partitionBy("year", "month").parquet(scratch + "/s")

@@ -93,7 +93,11 @@ def scan_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
-    return order_months(spark, sf).filter("o_totalprice >= 495000").select("year", "month")
+    """Months that saw an order of at least 495000."""
+    highest = order_months(spark, sf).groupBy("year", "month").agg(
+        F.max("o_totalprice").alias("highest")
+    )
+    return highest.filter("highest >= 495000").select("year", "month")
 
 
 @query

@@ -214,7 +214,8 @@ SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS day,
     CASE WHEN day(CAST(o_orderdate AS DATE)) NOT IN (1, 7, 8, 15, 31) THEN max(o_totalprice) END
         AS price
 FROM orders GROUP BY o_orderstatus, CAST(o_orderdate AS DATE)""",
-    "loaded": "SELECT DISTINCT year, month FROM order_months WHERE o_totalprice >= 495000",
+    "loaded": """
+SELECT year, month FROM order_months GROUP BY year, month HAVING max(o_totalprice) >= 495000""",
     "trend_runs": """
 SELECT * FROM (VALUES (2000, 6), (2001, 8), (1995, 2)) AS v(y, m)""",
     "trend_counts": """
