@@ -59,7 +59,7 @@ class CleaningReport:
 class MonthOutcome:
     year: int
     month: int
-    landed: list[dict] = field(default_factory=list)
+    landed: dict[str, dict] = field(default_factory=dict)
     cleaning: CleaningReport | None = None
     rows: dict[str, int] = field(default_factory=dict)
     checks: dict[str, list[Row]] = field(default_factory=dict)
@@ -186,17 +186,19 @@ def run_month(
             raise QualityError(name, results)
 
     lake.create_layers(spark)
-    outcome.landed = land_periods(
-        spark,
-        trips_landing,
-        lake.path("bronze", *suites.TRIP_SOURCE),
-        [(year, month)],
-        skip_existing,
-        name_pattern="yellow_*_{year}-{month:02d}.parquet",
-    )
-    failed = [o["error"] for o in outcome.landed if not o["success"]]
-    if failed:
-        raise FileNotFoundError(f"landing {year}-{month:02d}: {failed[0]}")
+    for source in (suites.TRIP_SOURCE, suites.GREEN_SOURCE):
+        outcome.landed[source[1]] = land_periods(
+            spark,
+            trips_landing,
+            lake.path("bronze", *source),
+            [(year, month)],
+            skip_existing,
+            name_pattern=source[1] + "_*_{year}-{month:02d}.parquet",
+        )[0]
+    # Green trips are only kept; the run does not depend on them.
+    landed = outcome.landed[suites.TRIP_SOURCE[1]]
+    if not landed["success"]:
+        raise FileNotFoundError(f"landing {year}-{month:02d}: {landed['error']}")
     land_weather(spark, lake, weather_csv, year, skip_existing)
     check("bronze_trips", suites.bronze_trip_suite)
     check("bronze_weather", suites.bronze_weather_suite)

@@ -19,6 +19,7 @@ from lodestrata.sources.lake import Lake
 # --- fixed values: table names, locations and thresholds -----------------------------
 
 TRIP_SOURCE = ("nyc_tlc", "yellow")
+GREEN_SOURCE = ("nyc_tlc", "green")
 WEATHER_SOURCE = ("noaa_weather", "nyc_daily")
 FEATURE_SOURCE = "features"
 TRIP_TABLE = "yellow_taxi_trips"

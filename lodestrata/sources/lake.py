@@ -143,11 +143,21 @@ def overwrite_partitions(
             .format("parquet")
             .saveAsTable(table),
         )
-    metrics = seen.get
+    rows, partitions = _written(seen.get, df, by)
     if scope:
-        written = {tuple(str(p[c]) for c in by) for p in metrics.get("partitions", ())}
-        _empty_stale(spark, table, by, scope, written)
-    return metrics.get("rows", 0)
+        _empty_stale(spark, table, by, scope, partitions)
+    return rows
+
+
+def _written(metrics: dict, df: DataFrame, by: Sequence[str]) -> tuple[int, set[tuple]]:
+    """Rows and partitions of a write.  Should the observation have been lost,
+    they are taken from the frame, so that nothing just written passes for stale."""
+    if "rows" in metrics:
+        rows, partitions = metrics["rows"], metrics["partitions"]
+    else:
+        counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).collect()
+        rows, partitions = sum(r["rows"] for r in counted), counted
+    return rows, {tuple(str(p[c]) for c in by) for p in partitions}
 
 
 def _dynamic(spark: SparkSession, write) -> None:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from lodestrata.session import shuffles_sized_for
 from lodestrata.sources.inventory import file_inventory, list_files
 from lodestrata.sources.lake import (
     Lake,
+    _written,
     land_periods,
     overwrite_partitions,
     read_features,
@@ -84,6 +86,23 @@ def test_scope_of_a_year_drops_months_not_written(spark, scratch):
     assert stored(spark, t) == [(0, 2023, 5), (3, 2024, 2)]
 
 
+def test_a_run_found_empty_while_running(spark, scratch):
+    """The join is known to be empty only once its sides have run."""
+    t = fresh_name()
+    overwrite_partitions(frame(spark, (1, 2024, 1), (2, 2024, 2)), t, scratch + "/t")
+    base = frame(spark, (5, 2024, 2)).repartition(3)
+    other = spark.range(10).repartition(3).groupBy((F.col("id") + 100).cast("int").alias("v")).count()
+    nothing = base.join(other.hint("merge"), "v").drop("count")
+    scope = {"year": 2024, "month": 2}
+    assert overwrite_partitions(nothing, t, scratch + "/t", scope=scope) == 0
+    assert stored(spark, t) == [(1, 2024, 1)]
+
+
+def test_lost_observation(spark):
+    df = frame(spark, (1, 2024, 1), (2, 2024, 2), (3, 2024, 2))
+    assert _written({}, df, ("year", "month")) == (3, {("2024", "1"), ("2024", "2")})
+
+
 def test_a_new_table_over_an_old_path(spark, scratch):
     """A catalog that starts empty finds the months already there."""
     frame(spark, (1, 2024, 1), (2, 2024, 2), (3, 2024, 3)).write.partitionBy("year", "month").parquet(
@@ -282,10 +301,21 @@ def lake_of(spark, root):
     return Lake(root + "/lake", {k: f"{mark}_{k}" for k in ("bronze", "silver", "gold")})
 
 
+def _green_file(root):
+    """One month of green trips, as a copy to make."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    made = root + "/green.parquet"
+    pq.write_table(pa.table({"lpep_pickup_datetime": [dt.datetime(2024, 1, 1)]}), made)
+    return made, root + "/landing/green_tripdata_2024-01.parquet"
+
+
 def test_monthly_run(spark, landing):
     root, month, weather = landing
     lake = lake_of(spark, root)
     csv = weather(2024)
+    shutil.copy(*_green_file(root))
     for m, days in ((1, 31), (2, 29)):
         month(2024, m, days)
         out = run_month(spark, lake, 2024, m, root + "/landing", csv, SMALL)
@@ -303,6 +333,7 @@ def test_monthly_run(spark, landing):
             "bronze_trips", "bronze_weather", "silver_trips", "silver_weather", "gold",
         ]
         assert all(r.passed for rows in out.checks.values() for r in rows)
+        assert out.landed["green"]["success"] is (m == 1)
     gold = spark.table(lake.table("gold", "trip_weather_daily"))
     assert gold.count() == 31 + 29
     first = gold.filter("pickup_date = date'2024-02-01'").first()
@@ -318,7 +349,7 @@ def test_monthly_run(spark, landing):
     again = run_month(
         spark, lake, 2024, 2, root + "/landing", csv, SMALL, history_table=history
     )
-    assert again.landed[0]["skipped"]
+    assert again.landed["yellow"]["skipped"] and not again.landed["green"]["success"]
     recorded = spark.table(history)
     assert recorded.count() == sum(len(rows) for rows in again.checks.values())
     assert {(r.layer, r.month) for r in recorded.select("layer", "month").distinct().collect()} >= {
