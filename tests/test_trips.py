@@ -311,3 +311,19 @@ def test_no_python_and_no_single_task_exchange(silver_trips, silver_weather, raw
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "SinglePartition" not in plan
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_scans_read_what_they_need(spark, raw_trips, silver_trips, scratch):
+    clean_trips(raw_trips(), 2024, 12).write.partitionBy("year", "month").parquet(scratch + "/s")
+    stored = spark.read.parquet(scratch + "/s")
+    plan = daily_trip_metrics(stored)._jdf.queryExecution().executedPlan().toString()
+    # not among the measures
+    assert "tolls_amount" not in plan and "dropoff_location_id" not in plan
+    raw = raw_trips()
+    raw.write.parquet(scratch + "/r")
+    plan = clean_trips(spark.read.parquet(scratch + "/r"), 2024, 12)
+    scan = plan._jdf.queryExecution().executedPlan().toString()
+    pushed = scan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(trip_distance,0.0)" in pushed
+    assert "LessThanOrEqual(fare_amount,10000.0)" in pushed
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
