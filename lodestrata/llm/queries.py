@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import decontaminate
+from lodestrata.llm import decontaminate, language
 from lodestrata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find_items(docs, items))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_decontaminate,
+        op10_language_id,
     )
 }
