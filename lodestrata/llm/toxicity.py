@@ -374,7 +374,13 @@ def learn(
 
     rows = map_texts(texts, "text", [("words", pa.string())], make, ["doc_id", "toxic"]).collect()
     rows = sorted((r for r in rows if r["words"]), key=lambda r: r["doc_id"])
-    return train([r["words"] for r in rows], [r["toxic"] for r in rows], **options)
+    net = train([r["words"] for r in rows], [r["toxic"] for r in rows], **options)
+    # The sample has another share of toxic texts than the labels: correct the prior.
+    all_of = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    taken = [sum(r["toxic"] == v for r in rows) for v in (0, 1)]
+    if min(taken) and len(all_of) == 2:
+        net.shift += float(np.log(all_of[1] / all_of[0]) - np.log(taken[1] / taken[0]))
+    return net
 
 
 # --- scoring ------------------------------------------------------------------------
