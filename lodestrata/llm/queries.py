@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import decontaminate, language, toxicity
+from lodestrata.llm import decontaminate, language, pieces, toxicity
 from lodestrata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def piece_model() -> str:
+    """Found where it is used: every machine has the file in a place of its own."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find_items(docs, items))
@@ -21,6 +28,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.digests(docs, piece_model, keep=["doc_id"])
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -30,6 +42,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_decontaminate,
         op3_toxicity,
+        op9_pieces,
         op10_language_id,
     )
 }
