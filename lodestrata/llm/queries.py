@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import decontaminate, language, pieces, toxicity
-from lodestrata.llm.common import table
+from lodestrata.llm import decontaminate, language, pieces, tokenfiles, toxicity
+from lodestrata.llm.common import scratch, table
+
+END_ID = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +21,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find_items(docs, items))
@@ -28,6 +36,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "tokens")
+    tokenfiles.write(table(spark, sf_dir, "documents"), folder, word_tokenizer, END_ID)
+    return tokenfiles.read(spark, folder)
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pieces.digests(docs, piece_model, keep=["doc_id"])
@@ -42,6 +56,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_decontaminate,
         op3_toxicity,
+        op4_token_files,
         op9_pieces,
         op10_language_id,
     )
