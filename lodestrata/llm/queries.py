@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import decontaminate, language, pieces, tokenfiles, toxicity
+from lodestrata.llm import decontaminate, jaccard, language, pieces, tokenfiles, toxicity
 from lodestrata.llm.common import scratch, table
 
 END_ID = 2
@@ -42,6 +42,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, folder)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pieces.digests(docs, piece_model, keep=["doc_id"])
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
         op2_decontaminate,
         op3_toxicity,
         op4_token_files,
+        op7_jaccard_join,
         op9_pieces,
         op10_language_id,
     )
