@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestrata.llm import decontaminate, jaccard, language, pieces, tokenfiles, toxicity
+from lodestrata.llm import decontaminate, jaccard, language, neighbours, pieces, tokenfiles, toxicity
 from lodestrata.llm.common import scratch, table
 
 END_ID = 2
@@ -42,6 +43,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, folder)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
         op2_decontaminate,
         op3_toxicity,
         op4_token_files,
+        op6_neighbours,
         op7_jaccard_join,
         op9_pieces,
         op10_language_id,
