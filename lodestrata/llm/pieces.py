@@ -18,10 +18,12 @@ import hashlib
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lodestrata.llm.common import map_texts
+from lodestrata.llm.common import list_array, map_texts
 
 SPACE = "▁"
 KEPT_UNITS = 400_000
@@ -219,6 +221,12 @@ def model(path: str) -> PieceModel:
     return _LOADED[path]
 
 
+def _numbers(ids: list[bytes]) -> pa.Array:
+    """Lists of ids from their decimal text."""
+    values = [np.fromstring(i, np.int32, sep=",") for i in ids]
+    return list_array(np.concatenate(values), np.fromiter(map(len, values), np.int64, len(values)))
+
+
 def encode(
     docs: DataFrame, path: str | Callable[[], str], text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
@@ -229,8 +237,7 @@ def encode(
         m = model(path() if callable(path) else path)
 
         def work(texts: list[str | None]) -> list:
-            out = [m.digest(t)[0] for t in texts]
-            return [[list(map(int, ids.split(b","))) if ids else [] for ids in out]]
+            return [_numbers([m.digest(t)[0] for t in texts])]
 
         return work
 
@@ -246,7 +253,8 @@ def decode(rows: DataFrame, path: str | Callable[[], str], ids: str = "ids") ->
             texts = [None if i is None else m.decode(i) for i in batch.column(ids).to_pylist()]
             yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
-    return rows.mapInArrow(run, rows.schema.add("decoded", "string"))
+    schema = StructType([*rows.schema.fields, StructField("decoded", StringType())])
+    return rows.mapInArrow(run, schema)
 
 
 def digests(
@@ -254,9 +262,10 @@ def digests(
     path: str | Callable[[], str],
     text: str = "text",
     keep: list[str] | None = None,
+    with_ids: bool = False,
 ) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 (of the decimal ids joined by commas) and
-    decoded_sha256 (of what decoding the ids gives), in one pass.
+    decoded_sha256 (of what decoding the ids gives), and the ids themselves if asked for, in one pass.
 
     Null and empty texts have no ids and decode to the empty text; rows are encoded
     one by one, so repeated rows and ties change nothing."""
@@ -265,15 +274,19 @@ def digests(
         m = model(path() if callable(path) else path)
 
         def work(texts: list[str | None]) -> list:
-            counts, ids_sha, text_sha = [], [], []
+            counts, ids_sha, text_sha, all_ids = [], [], [], []
             for t in texts:
                 ids, decoded = m.digest(t)
                 counts.append(ids.count(b",") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
-            return [counts, ids_sha, text_sha]
+                if with_ids:
+                    all_ids.append(ids)
+            return [counts, ids_sha, text_sha, *([_numbers(all_ids)] if with_ids else [])]
 
         return work
 
     schema = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    if with_ids:
+        schema.append(("ids", pa.list_(pa.int32())))
     return map_texts(docs, text, schema, make, keep)
