@@ -108,8 +108,8 @@ def map_texts(
     return source.mapInArrow(run, out)
 
 
-def list_array(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+def list_array(values: np.ndarray | pa.Array, counts: np.ndarray) -> pa.Array:
     """List column from flat values and the number of values of each row."""
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import decontaminate, jaccard, language, neighbours, pieces, tokenfiles, toxicity
+from lodestrata.llm import decontaminate, jaccard, language, neighbours, pagetext, pieces, tokenfiles, toxicity
 from lodestrata.llm.common import scratch, table
 
 END_ID = 2
@@ -51,6 +51,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pieces.digests(docs, piece_model, keep=["doc_id"])
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
         op4_token_files,
         op6_neighbours,
         op7_jaccard_join,
+        op8_page_text,
         op9_pieces,
         op10_language_id,
     )
