@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import decontaminate, jaccard, language, neighbours, pagetext, pieces, tokenfiles, toxicity
+from lodestrata.llm import attribution, decontaminate, jaccard, language, neighbours, pagetext, pieces, resample, tokenfiles, toxicity
 from lodestrata.llm.common import scratch, table
 
 END_ID = 2
@@ -28,6 +28,19 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_ranks() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return attribution.sections(docs, byte_ranks, public_tokenizers.PATTERN)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find_items(docs, items))
@@ -43,6 +56,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, folder)
 
 
+def op5_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -67,9 +84,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_token_attribution,
         op2_decontaminate,
         op3_toxicity,
         op4_token_files,
+        op5_resample,
         op6_neighbours,
         op7_jaccard_join,
         op8_page_text,
