@@ -24,9 +24,9 @@ from lodestrata.llm.jaccard import mix
 
 BUCKETS = 1 << 14
 MAX_TARGET = 20_000
-SHARPNESS = 8.0
+SHARPNESS = 32.0
 SMOOTHING = 1.0
-KEEP = 0.5
+KEEP = 0.85
 RANGES = 1024
 
 
