@@ -17,8 +17,9 @@ Groups.  Equal sets are one node from the start.  Nodes that share a block are l
 group's smallest node, the one they share most blocks with first, and those pairs are verified
 on the whole sets.  What remains are groups with several components: their nodes of different
 components are compared by dense sketches, in squares of at most ``CHUNK`` by ``CHUNK``, and
-pairs under the bound are verified too, first the nearest of each node and component, then all
-that are still apart.  So a group of copies costs about its size, and no link is lost.
+pairs under the bound are verified too, first a forest of the nearest ones, again while that
+brings links, then all that are still apart.  So of a group of copies about as many pairs
+are verified as it has members, and no link is lost.
 """
 
 from __future__ import annotations
@@ -147,9 +148,10 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
-def near_pairs(left: tuple, right: tuple, same: bool, only_best: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``left`` and ``right`` (nodes, components, sizes, sketches) of different
-    components whose sketches do not rule out a similarity of 4/5."""
+def near_pairs(left: tuple, right: tuple, same: bool, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of ``left`` and ``right`` (nodes, components, sizes, sketches), the pairs of
+    different components whose sketches do not rule out a similarity of 4/5: every one,
+    or the nearest that hold the same components together."""
     width = min(map(len, [*left[3], *right[3]]))
     a = np.array([folded(s, width) for s in left[3]])
     b = np.array([folded(s, width) for s in right[3]])
@@ -166,18 +168,41 @@ def near_pairs(left: tuple, right: tuple, same: bool, only_best: bool) -> tuple[
         near = 9 * distance <= left[2][part][i] + right[2][j]
         found.append((i[near] + at, j[near], distance[near]))
     i, j, distance = (np.concatenate(c) for c in zip(*found))
-    if only_best and len(i):
-        # The nearest of each node and other component, seen from either side.
-        keep = np.zeros(len(i), bool)
-        for node, other in ((left[0][i], right[1][j]), (right[0][j], left[1][i])):
-            order = np.lexsort((distance, other, node))
-            node, other = node[order], other[order]
-            first = np.append(True, (node[1:] != node[:-1]) | (other[1:] != other[:-1]))
-            keep[order[first]] = True
+    if not every and len(i):
+        keep = forest(left[1][i], right[1][j], distance)
         i, j = i[keep], j[keep]
     return left[0][i], right[0][j]
 
 
+def forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    """Places of pairs that join the same components as all pairs do, at most one for each
+    component but one: in turns, every component takes its nearest pair."""
+    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(names))
+    rank = np.empty(len(a), np.int64)
+    rank[np.argsort(distance, kind="stable")] = np.arange(len(a))
+    open_, chosen = np.arange(len(a)), []
+    while True:
+        open_ = open_[label[u[open_]] != label[v[open_]]]
+        if not len(open_):
+            return np.unique(np.array(chosen, np.int64))
+        best = np.full(len(names), len(a), np.int64)
+        np.minimum.at(best, label[u[open_]], rank[open_])
+        np.minimum.at(best, label[v[open_]], rank[open_])
+        taken = open_[np.isin(rank[open_], best)]
+        chosen += taken.tolist()
+        for x, y in zip(label[u[taken]].tolist(), label[v[taken]].tolist()):
+            x, y = label[x], label[y]
+            while label[x] != x:
+                x = label[x]
+            while label[y] != y:
+                y = label[y]
+            label[max(x, y)] = min(x, y)
+        while (label[label] != label).any():
+            label = label[label]
+
+
 # --- the join ----------------------------------------------------------------------
 
 
@@ -339,8 +364,9 @@ def _oriented(edges: DataFrame) -> DataFrame:
     )
 
 
-def _apart(live: DataFrame, found: DataFrame, sketches: DataFrame, only_best: bool) -> DataFrame:
-    """Pairs of different components that share a block and that sketches allow."""
+def _apart(live: DataFrame, found: DataFrame, sketches: DataFrame, every: bool) -> DataFrame:
+    """(key, a, b): pairs of different components that share a block and that sketches
+    allow, every one or those of a forest."""
     members = live.select("key", "node").unionByName(live.select("key", F.col("rep").alias("node")))
     members = members.distinct().join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
@@ -384,11 +410,12 @@ def _apart(live: DataFrame, found: DataFrame, sketches: DataFrame, only_best: bo
         if not len(parts[0][0]) or not len(parts[1][0]):
             a = b = np.zeros(0, np.int64)
         else:
-            a, b = near_pairs(parts[0], parts[1], i == j, only_best)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            a, b = near_pairs(parts[0], parts[1], i == j, every)
+        key = pa.array(np.full(len(a), rows.column("key")[0].as_py()), pa.int64())
+        high, low = np.maximum(a, b), np.minimum(a, b)
+        return pa.table({"key": key, "a": pa.array(high, pa.int64()), "b": pa.array(low, pa.int64())})
 
-    found = dealt.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint")
-    return _oriented(found)
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "key bigint, a bigint, b bigint")
 
 
 def join(
@@ -439,14 +466,24 @@ def join(
     tried = stored(_oriented(allowed(pairs, sketches)), "pairs")
     edges = links(tried)
     found = stored(components(edges), "components")
-    for only_best in (True, False):
-        pairs = _apart(live, found, sketches, only_best).join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
+    # Forests as long as they bring links, then every pair that is still apart.  A group
+    # without an allowed pair never gets one later and is left out from then on.
+    every = False
+    while True:
+        near = stored(_apart(live, found, sketches, every), "near")
+        pairs = stored(near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = False
+        if not pairs.isEmpty():
+            fresh = links(pairs)
+            more = not fresh.isEmpty()
+        if more:
+            edges = edges.unionByName(fresh)
+            found = stored(components(edges), "components")
+        if every:
             break
-        edges = edges.unionByName(links(pairs))
-        found = stored(components(edges), "components")
+        every = not more
         tried = tried.unionByName(pairs)
+        live = live.join(near.select("key").distinct(), "key", "left_semi")
     nameless = _documents(docs.where(F.col(f"`{doc_id}`").isNull()), doc_id, text)
     return _named(rows, nodes, found).unionByName(
         nameless.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

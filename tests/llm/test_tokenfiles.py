@@ -1,0 +1,91 @@
+import io
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from lodestrata.llm import tokenfiles as f
+
+public = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+zstandard = pytest.importorskip("zstandard")
+PATH = public.path("word_bpe_49k.json")
+
+PARTS = [
+    " ", "\n", "a", "E", "Th", "ING", "é", "ß", "日本", "😀", "é", "<|endoftext|>", "<|", "x1", "'S", "'ll", "123", "½", "...",
+    "\x00", "\r\n", "İ", "ﬁ", "\xa0", "Ω", "Σ", "Hello", "ñ", "’", "\x1c", "!?", "_", "\x85", "\xad", "ª", "Å", "̀", "Ǆ", "ſ", "ẞ", "ΑΣ",
+]
+
+
+def as_file(docs, width=2):
+    b = f.FileBuilder(width)
+    for doc_id, ids in docs:
+        b.add(doc_id, np.array(ids, np.uint32))
+    return b.content() + f.FOOTER_TEXT.encode("latin-1")
+
+
+def test_random_texts_as_the_library():
+    whole, own, rng = tokenizers.Tokenizer.from_file(PATH), f.encoder(PATH), random.Random(3)
+    assert own.apart
+    for _ in range(15000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 10)))
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == want, repr(text)
+
+
+def test_other_tokenizers_get_the_whole_text(prose):
+    path = public.path("byte_bpe_50k.json")
+    own = f.WordEncoder(path)
+    assert not own.apart
+    text = prose(50, 1) + "\n\n x"
+    want = tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(own.ids(text), "<u4").tolist() == want
+
+
+def test_reader_decompresses_only_what_is_asked_for():
+    docs = [(None, [1]), (3, [5, 6, 7]), (9, []), (12, list(range(1000))), (12, [4])]
+    data = bytearray(as_file(docs))
+    reader = f.TokenFile(io.BytesIO(bytes(data)))
+    assert [reader.ids(i).tolist() for i in range(5)] == [d[1] for d in docs]
+    assert reader.find(9).tolist() == [] and reader.find(12).tolist() == list(range(1000)) and reader.find(4) is None
+    # The frames are plain zstandard; the tables are skippable frames.
+    assert len(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(data)), read_across_frames=True).read()) == 2 * 1005
+    # Damage to one document leaves the others readable.
+    data[int(reader.starts[3]) + int(reader.sizes[3]) - 3] ^= 0xFF
+    hurt = f.TokenFile(io.BytesIO(bytes(data)))
+    assert hurt.ids(1).tolist() == [5, 6, 7] and hurt.ids(4).tolist() == [4]
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        hurt.ids(3)
+    for cut in (1, 4, 30):
+        with pytest.raises(ValueError):
+            f.TokenFile(io.BytesIO(bytes(data[:-cut])))
+
+
+@pytest.mark.parametrize("file_bytes", [f.FILE_BYTES, 200])
+def test_round_trip(spark, documents, scratch, prose, file_bytes):
+    rows = [(i * 3 % 40, prose(5 + i, i)) for i in range(40)]
+    rows += [(100, None), (101, ""), (102, " \n"), (None, "no id"), (-7, "below zero"), (5, "again"), (5, "again")]
+    folder = scratch + "/tokens"
+    f.write(documents(rows), folder, PATH, 2, file_bytes=file_bytes)
+    found = f.read(spark, folder).orderBy("start").collect()
+    names = [n for n in os.listdir(folder) if n.startswith("part-")]
+    assert (len(names) > 10) == (file_bytes == 200)
+    whole = tokenizers.Tokenizer.from_file(PATH)
+    want = {}
+    for doc_id, text in rows:
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [2]
+        want.setdefault(doc_id, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, []).append((r.n_tokens, r.ids_crc32))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    ids = [r.doc_id for r in found]
+    assert ids[0] is None and ids[1:] == sorted(ids[1:])
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:i]) for i in range(len(found))]
+
+
+def test_empty_table(spark, documents, scratch):
+    f.write(documents([]), scratch + "/none", PATH, 2)
+    assert f.read(spark, scratch + "/none").count() == 0
