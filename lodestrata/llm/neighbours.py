@@ -30,7 +30,8 @@ PROJECTIONS = 64
 HALF_WIDTH = 1.36  # of a window, in radii
 MISS = 1.0
 GROWTH = 1.12
-FIRST_RADIUS = 0.2
+#: Scaled vectors are at most 2 apart; the last window holds every array whole.
+RADII = np.append(0.2 * GROWTH ** np.arange(21), np.inf)
 VECTORS_PER_BLOCK = 1 << 16
 QUERIES_PER_BLOCK = 512
 
@@ -53,8 +54,10 @@ class Index:
         rng = np.random.default_rng(seed)
         self.axes = rng.normal(size=(vectors.shape[1] + 1, PROJECTIONS))
         projected = np.concatenate([unit, extra[:, None]], 1) @ self.axes
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order.T.astype(np.int64), 0).T.copy()
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, 0).T.copy()
+        self.order = order.T.copy()
+        self.rough = self.vectors.astype(np.float32)
         self.largest = largest
 
     def search(self, query: np.ndarray, own: int, k: int, wanted: int) -> list[tuple[int, float]]:
@@ -62,42 +65,38 @@ class Index:
         n = len(self.vectors)
         query = query.astype(np.float64)
         length = float(np.sqrt((query * query).sum()))
+        scale = self.largest * length
         at = (query / length) @ self.axes[:-1]
-        counts = np.zeros(n, np.int16)
+        # Windows of all radii: their ends in every array.
+        reach = HALF_WIDTH * RADII
+        low = np.array([row.searchsorted(x - reach, "left") for row, x in zip(self.sorted, at)])
+        high = np.array([row.searchsorted(x + reach, "right") for row, x in zip(self.sorted, at)])
+        counts = np.zeros(n, np.int64)
         verified = np.zeros(n, bool)
-        scores = np.full(n, -np.inf)
-        low = np.array([np.searchsorted(row, x) for row, x in zip(self.sorted, at)])
-        high = low.copy()
-        radius = FIRST_RADIUS
-        while True:
-            reach = HALF_WIDTH * radius
-            fresh = []
-            for j in range(PROJECTIONS):
-                row = self.sorted[j]
-                a = row.searchsorted(at[j] - reach, "left")
-                b = row.searchsorted(at[j] + reach, "right")
-                a, b = min(a, low[j]), max(b, high[j])
-                if a < low[j]:
-                    fresh.append(self.order[j, a : low[j]])
-                if b > high[j]:
-                    fresh.append(self.order[j, high[j] : b])
-                low[j], high[j] = a, b
-            if fresh:
-                counts += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
+        scores = np.full(n, -np.inf, np.float32)
+        rough = query.astype(np.float32)
+        for step, radius in enumerate(RADII):
+            if step:
+                ends = zip(self.order, low[:, step], low[:, step - 1], high[:, step - 1], high[:, step])
+                fresh = [part for o, a, b, c, d in ends for part in (o[a:b], o[c:d])]
+            else:
+                fresh = [o[a:b] for o, a, b in zip(self.order, low[:, 0], high[:, 0])]
+            counts += np.bincount(np.concatenate(fresh), minlength=n)
             new = np.flatnonzero((counts >= wanted) & ~verified)
-            if len(new):
-                verified[new] = True
-                scores[new] = (self.vectors[new] * query).sum(1)
+            if not len(new):
+                continue
+            verified[new] = True
+            scores[new] = self.rough[new] @ rough
             # |x - q|^2 = 2 - 2 x.q of the scaled vectors.
-            near = scores >= (1 - radius * radius / 2) * self.largest * length
-            if self.many[near].sum() > k or radius > 2 or verified.all():
+            near = scores >= (1 - radius * radius / 2) * scale
+            if self.many[near].sum() > k:
                 break
-            radius *= GROWTH
         found = np.flatnonzero(verified)
         if len(found) > k + 1:
             least = np.partition(scores[found], -(k + 1))[-(k + 1)]
-            found = found[scores[found] >= least]
-        rows = [(i, float(scores[v])) for v in found for i in self.ids[v].tolist() if i != own]
+            found = found[scores[found] >= least - 1e-5 * scale]
+        exact = (self.vectors[found] * query).sum(1)
+        rows = [(i, float(s)) for v, s in zip(found, exact) for i in self.ids[v].tolist() if i != own]
         return sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
 
 
@@ -124,7 +123,8 @@ def search(
     Vectors that are null, empty, zero or hold null or non-finite components take no part,
     nor do null ids, nor vectors of another length than most (ties: the longer).  Of equal
     vectors the smallest ids come first.  With fewer than ``k`` candidates all are returned.
-    An empty table gives no rows."""
+    Repeated rows count once; an id with several vectors has them all, as query and as
+    candidate.  An empty table gives no rows."""
     own = rows.select(
         F.col(f"`{vec_id}`").cast("bigint").alias("id"),
         F.col(f"`{vector}`").cast("array<double>").alias("v"),
@@ -152,8 +152,8 @@ def search(
     # Of equal vectors, k + 1 ids are enough for any query; the limit acts before the shuffle.
     first = Window.partitionBy("v").orderBy("id")
     entries = (
-        same.select("v", "id").withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
-        .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        same.select("v", "id").withColumn("place", F.dense_rank().over(first)).where(F.col("place") <= k + 1)
+        .groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
         .withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
         .withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
         .select("block", "round", "v", "ids")
