@@ -1,0 +1,84 @@
+"""The registered queries on the smallest given tables: SQL where there is some, else the
+schema and the rows; the operators themselves are held against brute force elsewhere."""
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from compare import TABLES, rows_of
+from lodestrata.llm.oracle import ORACLE
+from lodestrata.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no given tables")
+
+COLUMNS = {
+    "op1": ["doc_id", "section", "start", "stop", "n_tokens", "n_crossing"],
+    "op2": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op3": ["doc_id", "held_out", "score", "predicted"],
+    "op4": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op5": ["doc_id", "n_grams", "log_weight", "key", "selected"],
+    "op6": ["query_id", "rank", "vec_id", "score"],
+    "op7": ["doc_id", "n_shingles", "component_id"],
+    "op8": ["page_id", "url", "text", "n_chars"],
+    "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op10": ["doc_id", "held_out", "lang_pred", "score"],
+}
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql())
+    assert {name.split("_")[0] for name in QUERIES} == set(COLUMNS)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert df.columns == COLUMNS[name.split("_")[0]]
+    rows = df.collect()
+    if df.columns[0] == "doc_id" and name.split("_")[0] != "op1":
+        ids = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in ids)
+    if name in ORACLE:
+        db = pytest.importorskip("duckdb").connect()
+        for t in TABLES:
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+        result = db.execute(ORACLE[name])
+        want = rows_of([c[0] for c in result.description], result.fetchall())
+        assert rows_of(df.columns, [tuple(r) for r in rows]) == want
+    assert rows
+
+
+def test_pipeline(spark):
+    """Each stage does what its operator says, on what its predecessor kept."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    q = {n.split("_")[0]: f for n, f in QUERIES.items()}
+    toxic = {r.doc_id for r in q["op3"](spark, SF_DIR).collect() if r.predicted}
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["toxicity"](spark, docs, SF_DIR)
+    assert kept.columns == columns
+    left = {r.doc_id for r in docs.collect()} - toxic
+    assert {r.doc_id for r in kept.collect()} == left
+    kept = stages["language_id"](spark, kept, SF_DIR)
+    assert kept.columns == columns and {r.doc_id for r in kept.collect()} == left
+    from lodestrata.llm import jaccard
+
+    groups = {r.doc_id: r.component_id for r in jaccard.join(kept).collect()}
+    one = stages["jaccard_join"](spark, kept, SF_DIR)
+    left = {i for i, c in groups.items() if i == c}
+    assert one.columns == columns and sorted(r.doc_id for r in one.collect()) == sorted(left)
+    hit = {r.doc_id for r in q["op2"](spark, SF_DIR).collect() if r.contaminated}
+    clean = stages["decontaminate"](spark, one, SF_DIR)
+    assert clean.columns == columns and {r.doc_id for r in clean.collect()} == left - hit
+    whole = {r.doc_id: tuple(r) for r in q["op9"](spark, SF_DIR).collect()}
+    last = stages["pieces"](spark, clean, SF_DIR).collect()
+    assert {r.doc_id for r in last} == left - hit
+    assert all((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) == whole[r.doc_id] for r in last)
+    assert all(len(r.ids) == r.n_tokens for r in last)
+    ran = corpus_pipeline.run(spark, SF_DIR)
+    assert sorted(map(str, ran.collect())) == sorted(map(str, last))
