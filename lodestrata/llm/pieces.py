@@ -26,8 +26,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lodestrata.llm.common import list_array, map_texts
 
 SPACE = "▁"
-KEPT_UNITS = 400_000
-KEPT_PAIRS = 500_000
+KEPT_UNITS = 150_000
+KEPT_PAIRS = 150_000
 LONG_UNIT = 200
 _NONE = float("-inf")
 _SIGNS = ".,;:!?)]}\"*%&#$|"

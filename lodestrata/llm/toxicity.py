@@ -33,7 +33,8 @@ WORD_DIM, CHAR_DIM, HIDDEN = 8, 16, 12
 MAX_POSITIVE, MAX_NEGATIVE, MAX_WINDOWS = 600, 1500, 200
 ROUNDS, BATCH = 3, 256
 DOUBTFUL = 0.2
-SCORED_AT_ONCE = 4096
+SCORED_AT_ONCE, WORDS_AT_ONCE = 2048, 8192
+SLICE_BYTES = 2 << 20
 _WORD = re.compile(r"\w{1,64}")
 
 
@@ -133,9 +134,14 @@ class Network:
         return Network(p)
 
     def inputs(self, words: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-        n = np.diff(np.append(first, len(grams)))[:, None].astype(np.float32)
-        chars = np.add.reduceat(self.p["c"][grams], first, axis=0) / n
-        return np.concatenate([self.p["w"][words], chars], 1)
+        ends = np.append(first[1:], len(grams))
+        out = np.empty((len(words), WORD_DIM + CHAR_DIM), self.p["c"].dtype)
+        out[:, :WORD_DIM] = self.p["w"][words]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            a, b = first[at : at + WORDS_AT_ONCE], ends[at : at + WORDS_AT_ONCE]
+            sums = np.add.reduceat(self.p["c"][grams[a[0] : b[-1]]], a - a[0], axis=0)
+            out[at : at + WORDS_AT_ONCE, WORD_DIM:] = sums / (b - a)[:, None]
+        return out
 
     def forward(self, x: np.ndarray, rows: np.ndarray, keep: bool = False):
         """Logits of windows; x: a vector for each word, rows: word numbers from 1."""
@@ -409,7 +415,7 @@ def score(
         return work
 
     schema = [(prefix + "score", pa.float64()), (prefix + "predicted", pa.int32())]
-    return map_texts(docs, text, schema, make, keep)
+    return map_texts(docs, text, schema, make, keep, SLICE_BYTES)
 
 
 def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
