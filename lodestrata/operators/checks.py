@@ -8,6 +8,7 @@ one row per check.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -212,6 +213,15 @@ class Range:
     low_inclusive: bool = True
     high_inclusive: bool = True
 
+    def __str__(self) -> str:
+        left, right = "[" if self.low_inclusive else "(", "]" if self.high_inclusive else ")"
+        return f"{self.column} in {left}{self.low}, {self.high}{right}"
+
+    @property
+    def fact(self) -> str:
+        """Column and bounds as a name."""
+        return re.sub(r"[^A-Za-z0-9_]", lambda m: f"_{ord(m[0])}_", str(self))
+
     def violated(self) -> Column:
         value = F.col(self.column)
         below = value < self.low if self.low_inclusive else value <= self.low
@@ -224,12 +234,16 @@ def value_ranges(
     max_fraction: float = MAX_VIOLATION_FRACTION,
     table: str = "rows",
 ) -> Check:
-    """A null is in no range's way."""
+    """A null is in no range's way.  A column may have several ranges."""
     n = F.col(f"{table}_rows")
+    columns = [r.column for r in ranges]
     facts = _rows(table) | {
-        f"{table}_off_{r.column}": (table, F.count_if(r.violated())) for r in ranges
+        f"{table}_off_{r.fact}": (table, F.count_if(r.violated())) for r in ranges
+    }
+    shares = {
+        r.column if columns.count(r.column) == 1 else str(r): _share(F.col(f"{table}_off_{r.fact}"), n)
+        for r in ranges
     }
-    shares = {r.column: _share(F.col(f"{table}_off_{r.column}"), n) for r in ranges}
     within, named = _worst(shares, max_fraction)
     return Check(
         "value_ranges",
@@ -371,14 +385,25 @@ def total_bytes(min_bytes: int = MIN_BYTES, table: str = "files") -> Check:
 
 
 def file_count(
-    min_files: int = MIN_FILES, max_files: int = MAX_FILES, table: str = "files"
+    min_files: int = MIN_FILES,
+    max_files: int = MAX_FILES,
+    table: str = "files",
+    bytes_per_file: int | None = None,
 ) -> Check:
+    """``max_files`` holds for small data.  With ``bytes_per_file`` more files are allowed
+    as long as they have that many bytes on average."""
     n = F.col(f"{table}_count")
+    facts = _file_count(table)
+    most = F.lit(max_files)
+    if bytes_per_file is not None:
+        facts |= {f"{table}_bytes": (table, F.sum("bytes"))}
+        size = F.coalesce(F.col(f"{table}_bytes"), F.lit(0))
+        most = F.greatest(F.lit(max_files).cast("bigint"), F.ceil(size / F.lit(bytes_per_file)))
     return Check(
         "s3_file_count",
-        _file_count(table),
-        n.between(min_files, max_files),
-        F.format_string(f"%,d files, {min_files} to {max_files} wanted", n),
+        facts,
+        n.between(F.lit(min_files), most),
+        F.format_string(f"%,d files, {min_files} to %,d wanted", n, most),
         n,
     )
 

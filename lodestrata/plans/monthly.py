@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from lodestrata.operators.checks import CHECK_SCHEMA
-from lodestrata.operators.contract import conform, tag
-from lodestrata.operators.rules import cleaning_report, in_period, observe_cleaning
+from lodestrata.operators.contract import conform
+from lodestrata.operators.rules import cleaning_report, observe_cleaning
 from lodestrata.plans import suites
 from lodestrata.plans.trips import (
     TRIP_KEYS,
@@ -22,14 +25,14 @@ from lodestrata.plans.trips import (
 )
 from lodestrata.plans.weather import clean_weather, observations_to_daily
 from lodestrata.session import shuffles_sized_for
-from lodestrata.sources.inventory import list_files, loaded_periods
+from lodestrata.sources.inventory import data_files, entries, folders, is_complete, remove
 from lodestrata.sources.lake import (
     Lake,
+    cause_of,
     land_periods,
     overwrite_partitions,
     read_observations,
     read_partition,
-    write_partitions,
 )
 
 
@@ -69,29 +72,57 @@ class MonthOutcome:
 
 
 def land_weather(
-    spark: SparkSession, lake: Lake, csv_path: str, year: int, skip_existing: bool = True
-) -> bool:
-    """Daily weather of a year's observations; false if the year is there already.
+    spark: SparkSession,
+    lake: Lake,
+    csv_path: str,
+    year: int,
+    skip_existing: bool = True,
+    through: date | None = None,
+) -> dict:
+    """Daily weather of a year's observations; returns an outcome as ``land_periods`` does.
 
-    The file's year is the partition, whatever its rows say, as for trips."""
+    The file's year is the partition, whatever its rows say, as for trips.  A year that
+    is there is skipped, unless it ends before ``through``: the file of a running year
+    grows, and is then read again."""
     target = lake.path("bronze", *suites.WEATHER_SOURCE)
-    if skip_existing and not loaded_periods(spark, target).filter(f"year = {year}").isEmpty():
-        return False
-    daily = observations_to_daily(read_observations(spark, csv_path))
-    write_partitions(tag(daily, "year", year), target, ["year"])
-    return True
+    there = [f for f in folders(spark, target, year) if f.month is None]
+    path = there[0].path if there else f"{target}year={year}"
+    outcome = {
+        "year": year, "month": None, "success": True, "skipped": False,
+        "path": path, "rows": None, "error": None,
+    }
+    if skip_existing and there and is_complete(spark, path) and _reaches(spark, path, through):
+        outcome["skipped"] = True
+        return outcome
+    size = sum(e.length for e in entries(spark, csv_path))
+    try:
+        with shuffles_sized_for(spark, size):
+            daily = observations_to_daily(read_observations(spark, csv_path))
+            daily.hint("rebalance").write.mode("overwrite").parquet(path)
+        for other in there[1:]:
+            remove(spark, other.path)
+        outcome["rows"] = spark.read.parquet(path).count()
+    except Exception as failure:
+        outcome.update(success=False, error=cause_of(failure))
+    return outcome
+
+
+def _reaches(spark: SparkSession, path: str, through: date | None) -> bool:
+    if through is None:
+        return True
+    last = spark.read.parquet(path).agg(F.max("date")).first()[0]
+    return last is not None and last >= through
 
 
 def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> CleaningReport:
     """Clean and write one month of trips in one pass over the raw rows."""
-    folders, size = _raw_month(spark, lake, year, month)
-    raw = spark.read.parquet(*folders)
+    raw, size = _raw_month(spark, lake, year, month)
     conformed = conform(raw, TRIPS)
     counts = Observation()
     observed = observe_cleaning(conformed, counts, TRIP_RULES, "pickup_datetime", year, month)
     with shuffles_sized_for(spark, size):
         written = overwrite_partitions(
-            clean_conformed(observed, year, month),
+            clean_conformed(observed, year, month, _survivor(conformed)),
             lake.table("silver", suites.TRIP_TABLE),
             lake.path("silver", *suites.TRIP_SOURCE),
             scope={"year": year, "month": month},
@@ -115,19 +146,22 @@ def exact_report(conformed: DataFrame, year: int, month: int) -> CleaningReport:
     return CleaningReport(**counts.drop("invalid_pct").first().asDict())
 
 
-def _raw_month(spark: SparkSession, lake: Lake, year: int, month: int) -> tuple[list[str], int]:
-    """Directories and bytes of the month's raw files.  Only that month, written
-    ``month=3`` or ``month=03``, is opened later: schemas differ between months,
-    and Spark takes a dataset's schema from one file."""
-    files = in_period(list_files(spark, lake.path("bronze", *suites.TRIP_SOURCE)), year, month)
-    folders = (
-        files.groupBy(F.regexp_replace("path", "/[^/]+$", "").alias("folder"))
-        .agg(F.sum("length").alias("bytes"))
-        .collect()
-    )
-    if not folders:
+def _raw_month(spark: SparkSession, lake: Lake, year: int, month: int) -> tuple[DataFrame, int]:
+    """The month's raw rows and the bytes of their files."""
+    root = lake.path("bronze", *suites.TRIP_SOURCE)
+    size = sum(e.length for f in folders(spark, root, year, month) for e in data_files(spark, f.path))
+    if not size:
         raise FileNotFoundError(f"no raw trips of {year}-{month:02d}")
-    return [f.folder for f in folders], sum(f.bytes for f in folders)
+    return read_partition(spark, root, year, month).drop("year", "month"), size
+
+
+def _survivor(conformed: DataFrame) -> list:
+    """An order over all columns but the keys, so that of rows with equal keys the same
+    one stays in every run."""
+    return [
+        F.col(f"`{f.name}`") for f in conformed.schema
+        if f.name not in TRIP_KEYS and isinstance(f.dataType, AtomicType)
+    ]
 
 
 def silver_weather(spark: SparkSession, lake: Lake, year: int) -> int:
@@ -147,15 +181,18 @@ def gold_features(spark: SparkSession, lake: Lake, year: int, month: int) -> dic
         suites.DAILY_TABLE: trip_weather_daily(trips, weather, year, month),
         suites.HOURLY_TABLE: location_hourly_features(trips, year, month),
     }
-    return {
-        name: overwrite_partitions(
-            frame,
-            lake.table("gold", name),
-            lake.path("gold", suites.FEATURE_SOURCE, name),
-            scope={"year": year, "month": month},
-        )
-        for name, frame in frames.items()
-    }
+    root = lake.path("silver", *suites.TRIP_SOURCE)
+    size = sum(e.length for f in folders(spark, root, year, month) for e in data_files(spark, f.path))
+    with shuffles_sized_for(spark, size):
+        return {
+            name: overwrite_partitions(
+                frame,
+                lake.table("gold", name),
+                lake.path("gold", suites.FEATURE_SOURCE, name),
+                scope={"year": year, "month": month},
+            )
+            for name, frame in frames.items()
+        }
 
 
 # --- the run ----------------------------------------------------------------------
@@ -199,7 +236,10 @@ def run_month(
     landed = outcome.landed[suites.TRIP_SOURCE[1]]
     if not landed["success"]:
         raise FileNotFoundError(f"landing {year}-{month:02d}: {landed['error']}")
-    land_weather(spark, lake, weather_csv, year, skip_existing)
+    last = date(year, month, monthrange(year, month)[1])
+    outcome.landed["weather"] = land_weather(spark, lake, weather_csv, year, skip_existing, last)
+    if not outcome.landed["weather"]["success"]:
+        raise RuntimeError(f"landing weather of {year}: {outcome.landed['weather']['error']}")
     check("bronze_trips", suites.bronze_trip_suite)
     check("bronze_weather", suites.bronze_weather_suite)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from lodestrata.operators import checks as c
 from lodestrata.operators.rules import in_period
-from lodestrata.sources.inventory import file_inventory
+from lodestrata.sources.inventory import file_inventory, folders, partition_years
 from lodestrata.sources.lake import Lake
 
 # --- fixed values: table names, locations and thresholds -----------------------------
@@ -36,10 +36,18 @@ TRIP_RANGES = (
 )
 
 
+BYTES_PER_FILE = 8 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class FileLimits:
+    """``max_files`` holds for small periods; above it, files must have
+    ``bytes_per_file`` on average, so the count grows with the data and not with how
+    Spark split it, and many tiny files still fail."""
+
     min_bytes: int
     max_files: int | None = None
+    bytes_per_file: int = BYTES_PER_FILE
 
 
 @dataclass(frozen=True)
@@ -58,7 +66,7 @@ class SuiteLimits:
     ranges: Sequence[c.Range] = TRIP_RANGES
     max_violation_fraction: float = c.MAX_VIOLATION_FRACTION
     fare_bounds: tuple[float, float] = (5, 50)
-    expected_years: Sequence[int] = field(default_factory=tuple)  # empty: the run's year
+    expected_years: Sequence[int] = field(default_factory=tuple)  # empty: the years landed
 
 
 DEFAULTS = SuiteLimits()
@@ -75,14 +83,16 @@ def file_checks(
     year: int,
     month: int | None,
     expected_years: Sequence[int] | None = None,
+    partitions: DataFrame | None = None,
 ) -> DataFrame:
-    """Files of the period, and with ``expected_years`` the table's partition years."""
+    """Files of the period, and with ``expected_years`` the table's partition years,
+    taken from ``partitions`` or else the inventory."""
     wanted = [c.files_exist(), c.total_bytes(limits.min_bytes)]
     if limits.max_files is not None:
-        wanted.append(c.file_count(1, limits.max_files))
+        wanted.append(c.file_count(1, limits.max_files, bytes_per_file=limits.bytes_per_file))
     if expected_years is not None:
         wanted.append(c.unexpected_partitions(expected_years))
-    tables = {"files": in_period(inventory, year, month), "partitions": inventory}
+    tables = {"files": in_period(inventory, year, month), "partitions": inventory if partitions is None else partitions}
     return c.run_checks(tables, wanted, layer, table_name, year, month)
 
 
@@ -141,7 +151,7 @@ def gold_checks(
 def bronze_trip_suite(
     spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
 ) -> list[Row]:
-    inventory = file_inventory(spark, lake.path("bronze", *TRIP_SOURCE))
+    inventory = file_inventory(spark, lake.path("bronze", *TRIP_SOURCE), year=year, month=month)
     return file_checks(
         inventory, limits.bronze_trips, "bronze", TRIP_TABLE, year, month
     ).collect()
@@ -151,19 +161,33 @@ def bronze_weather_suite(
     spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
 ) -> list[Row]:
     """The raw weather is annual; the month is not looked at."""
-    inventory = file_inventory(spark, lake.path("bronze", *WEATHER_SOURCE))
+    inventory = file_inventory(spark, lake.path("bronze", *WEATHER_SOURCE), year=year)
     return file_checks(
         inventory, limits.bronze_weather, "bronze", WEATHER_TABLE, year, None
     ).collect()
 
 
+def _expected_years(
+    spark: SparkSession, lake: Lake, source: tuple[str, str], year: int, limits: SuiteLimits
+) -> list[int]:
+    """The limits' years, or else the years that are landed and the run's own."""
+    if limits.expected_years:
+        return list(limits.expected_years)
+    landed = {f.year for f in folders(spark, lake.path("bronze", *source))}
+    return sorted({year} | (landed - {None}))
+
+
 def silver_trip_suite(
     spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
 ) -> list[Row]:
-    inventory = file_inventory(spark, lake.path("silver", *TRIP_SOURCE))
-    years = limits.expected_years or (year,)
+    root = lake.path("silver", *TRIP_SOURCE)
+    inventory = file_inventory(spark, root, year=year, month=month)
+    years = _expected_years(spark, lake, TRIP_SOURCE, year, limits)
     return gated(
-        file_checks(inventory, limits.silver_trips, "silver", TRIP_TABLE, year, month, years),
+        file_checks(
+            inventory, limits.silver_trips, "silver", TRIP_TABLE, year, month, years,
+            partition_years(spark, root),
+        ),
         lambda: silver_trip_checks(
             spark.table(lake.table("silver", TRIP_TABLE)), year, month, limits
         ),
@@ -174,10 +198,14 @@ def silver_weather_suite(
     spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
 ) -> list[Row]:
     """Files of the year, days of the month."""
-    inventory = file_inventory(spark, lake.path("silver", *WEATHER_SOURCE))
-    years = limits.expected_years or (year,)
+    root = lake.path("silver", *WEATHER_SOURCE)
+    inventory = file_inventory(spark, root, year=year)
+    years = _expected_years(spark, lake, WEATHER_SOURCE, year, limits)
     return gated(
-        file_checks(inventory, limits.silver_weather, "silver", WEATHER_TABLE, year, None, years),
+        file_checks(
+            inventory, limits.silver_weather, "silver", WEATHER_TABLE, year, None, years,
+            partition_years(spark, root),
+        ),
         lambda: silver_weather_checks(
             spark.table(lake.table("silver", WEATHER_TABLE)), year, month
         ),
@@ -189,7 +217,7 @@ def gold_suite(
 ) -> list[Row]:
     files = [
         file_checks(
-            file_inventory(spark, lake.path("gold", FEATURE_SOURCE, name)),
+            file_inventory(spark, lake.path("gold", FEATURE_SOURCE, name), year=year, month=month),
             limits.gold,
             "gold",
             name,

@@ -1,46 +1,202 @@
-"""File inventory of a dataset, listed by Spark; file contents are not read."""
+"""Directories and files of a dataset, from the file system's listing.
+
+Partitions are known by their directory names and files by their status; no Spark task
+runs and no contents are read.  Only the directories of the wanted period are listed.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+from dataclasses import dataclass
+from fnmatch import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILES_SCHEMA = "path string, length bigint, modificationTime timestamp, year int, month int"
+MARKER = "_SUCCESS"
+_FOOTER = int.from_bytes(b"PAR1", "big")
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per file; ``year`` and ``month`` come from the directory names,
-    compared as numbers, so ``month=3`` and ``month=03`` are the same."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    try:
-        found = reader.option("recursiveFileLookup", "false").load(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], FILES_SCHEMA)
-    names = set(found.columns)
-    # The directory year=__HIVE_DEFAULT_PARTITION__ reads as null.
-    period = [
-        (F.col(c).try_cast("int") if c in names else F.lit(None).cast("int")).alias(c)
-        for c in ("year", "month")
+@dataclass(frozen=True)
+class Entry:
+    path: str
+    name: str
+    is_folder: bool
+    length: int
+    modified: int  # milliseconds
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A partition directory; ``year`` or ``month`` is None where the name gives no number."""
+
+    path: str
+    year: int | None = None
+    month: int | None = None
+
+    @property
+    def spelled(self) -> str:
+        """Partition directories as they are written on storage, such as ``month=03``."""
+        return "/".join(p for p in self.path.rstrip("/").split("/") if p.startswith(("year=", "month=")))
+
+
+def _system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def entries(spark: SparkSession, path: str) -> list[Entry]:
+    """Contents of one directory; none if it does not exist."""
+    system, where = _system(spark, path)
+    if not system.exists(where):
+        return []
+    return [
+        Entry(
+            s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen(),
+            s.getModificationTime(),
+        )
+        for s in system.listStatus(where)
+    ]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _system(spark, path)
+    system.delete(where, True)
+
+
+def _value(name: str, key: str) -> tuple[bool, int | None]:
+    found, _, text = name.partition("=")
+    if found.lower() != key or not _:
+        return False, None
+    return True, int(text) if text.lstrip("-").isdigit() else None
+
+
+def folders(
+    spark: SparkSession, root: str, year: int | None = None, month: int | None = None
+) -> list[Folder]:
+    """The dataset's directories ``year=`` and ``year=/month=``, compared as numbers,
+    so ``month=3`` and ``month=03`` are the same month.  With ``year`` and ``month`` only
+    those of that period are listed."""
+    found = []
+    for entry in entries(spark, root):
+        is_year, y = _value(entry.name, "year")
+        if not entry.is_folder or not is_year or (year is not None and y != year):
+            continue
+        inside = []
+        for sub in entries(spark, entry.path):
+            is_month, m = _value(sub.name, "month")
+            if sub.is_folder and is_month:
+                inside.append(Folder(sub.path, y, m))
+        if month is None:
+            found.append(Folder(entry.path, y))
+        found += [f for f in inside if month is None or f.month == month]
+    return found
+
+
+def data_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[Entry]:
+    """Files right in ``folder``; hidden ones, such as markers, are not data."""
+    return [
+        e for e in entries(spark, folder)
+        if not e.is_folder and not e.name.startswith(("_", ".")) and fnmatch(e.name, pattern)
+    ]
+
+
+def _files(
+    spark: SparkSession, root: str, pattern: str, year: int | None, month: int | None
+) -> Iterator[tuple[Folder, list[Entry]]]:
+    places = folders(spark, root, year, month)
+    if year is None:
+        places = [Folder(root), *places]
+    for folder in places:
+        files = data_files(spark, folder.path, pattern)
+        if files:
+            yield folder, files
+
+
+def list_files(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.parquet",
+    year: int | None = None,
+    month: int | None = None,
+) -> DataFrame:
+    """One row per file, of the period if one is given."""
+    rows = [
+        (e.path, e.length, e.modified, folder.year, folder.month)
+        for folder, files in _files(spark, path, pattern, year, month)
+        for e in files
     ]
-    return found.select("path", "length", "modificationTime", *period)
+    raw = spark.createDataFrame(rows, FILES_SCHEMA.replace("timestamp", "bigint"))
+    return raw.withColumn("modificationTime", F.timestamp_millis("modificationTime"))
 
 
-def file_inventory(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+def file_inventory(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.parquet",
+    year: int | None = None,
+    month: int | None = None,
+) -> DataFrame:
     """Per partition: file count, total bytes and newest modification."""
-    return (
-        list_files(spark, path, pattern)
-        .groupBy("year", "month")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum("length").alias("bytes"),
-            F.max("modificationTime").alias("newest"),
-        )
-    )
+    groups: dict[tuple, list[Entry]] = {}
+    for folder, files in _files(spark, path, pattern, year, month):
+        groups.setdefault((folder.year, folder.month), []).extend(files)
+    rows = [
+        (*period, len(files), sum(e.length for e in files), max(e.modified for e in files))
+        for period, files in groups.items()
+    ]
+    raw = spark.createDataFrame(rows, "year int, month int, files bigint, bytes bigint, newest bigint")
+    return raw.withColumn("newest", F.timestamp_millis("newest"))
+
+
+def partition_years(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """Years with data, one row each; a year's listing ends at its first file."""
+    years: dict[int | None, bool] = {}
+    for folder in folders(spark, path):
+        if not years.get(folder.year) and data_files(spark, folder.path, pattern):
+            years[folder.year] = True
+    return spark.createDataFrame([(y,) for y in years], "year int")
+
+
+def is_complete(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> bool:
+    """Whether a directory's data may be taken as whole.
+
+    A Spark write ends with a marker file; without one it broke off.  A directory that
+    another tool filled with a single file carries none: such a file is whole if it is
+    the only one, is not named like a part of a Spark write, and ends like a Parquet file."""
+    names = entries(spark, folder)
+    files = data_files(spark, folder, pattern)
+    if any(e.name == MARKER for e in names):
+        return bool(files)
+    return len(files) == 1 and not files[0].name.startswith("part-") and _ends_whole(spark, files[0])
+
+
+def _ends_whole(spark: SparkSession, file: Entry) -> bool:
+    if not file.name.endswith(".parquet"):
+        return True
+    if file.length < 12:
+        return False
+    system, where = _system(spark, file.path)
+    stream = system.open(where)
+    try:
+        stream.seek(file.length - 4)
+        return stream.readInt() == _FOOTER
+    finally:
+        stream.close()
+
+
+def complete_folders(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.parquet",
+    year: int | None = None,
+    month: int | None = None,
+) -> list[Folder]:
+    return [f for f in folders(spark, path, year, month) if is_complete(spark, f.path, pattern)]
 
 
 def loaded_periods(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(year, month) that hold at least one file."""
-    return list_files(spark, path, pattern).select("year", "month").distinct()
+    """(year, month) that hold complete data, see ``is_complete``."""
+    found = {(f.year, f.month) for f in complete_folders(spark, path, pattern)}
+    return spark.createDataFrame(sorted(found, key=str), "year int, month int")

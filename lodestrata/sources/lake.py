@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestrata.operators.rules import in_period
-from lodestrata.sources.inventory import loaded_periods
+from lodestrata.sources.inventory import (
+    Folder,
+    data_files,
+    entries,
+    folders,
+    is_complete,
+    remove,
+)
+from lodestrata.sources.schemas import SchemaConflict, as_schema, drifts, merged
 
 LAYERS = ("bronze", "silver", "gold")
 PERIOD = ("year", "month")
+#: Bytes of raw files that go into one landed file.
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -54,10 +66,57 @@ class Lake:
 def read_partition(
     spark: SparkSession, root: str, year: int, month: int | None = None, on: str | None = None
 ) -> DataFrame:
-    """One period of a Parquet dataset.  Directories ``year=/month=`` prune the
-    files; for data without them ``on`` names the date column, whose range is
-    pushed into the scan."""
-    return in_period(spark.read.parquet(root), year, month, on)
+    """One period of a Parquet dataset.
+
+    Where the dataset has directories ``year=/month=``, only the period's are opened, and
+    their schemas are merged: columns by name without regard to case, types widened.  For
+    data without them ``on`` names the date column, whose range is pushed into the scan."""
+    found = [f for f in folders(spark, root, year, month) if data_files(spark, f.path)]
+    if not found:
+        return in_period(spark.read.parquet(root), year, month, on)
+    return in_period(read_folders(spark, root, found), year, month, on)
+
+
+def read_folders(spark: SparkSession, root: str, found: Sequence[Folder]) -> DataFrame:
+    """Partition directories of a dataset as one frame with ``year`` and ``month``."""
+    parts = [(f, _folder_schemas(spark, f.path)) for f in found]
+    schemas = [schema for _, groups in parts for schema, _ in groups]
+    whole = merged(schemas, widen=True)
+    if not any(drifts(schema, whole) for schema in schemas):
+        reader = spark.read.schema(whole).option("basePath", root)
+        return reader.parquet(*(f.path for f in found))
+    keys = ["year"] + ["month"] * any(f.month is not None for f in found)
+    out = None
+    for folder, groups in parts:
+        for schema, paths in groups:
+            part = as_schema(spark.read.schema(schema).parquet(*paths), whole).select(
+                "*", *(F.lit(getattr(folder, k)).cast("int").alias(k) for k in keys)
+            )
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _folder_schemas(spark: SparkSession, path: str) -> list[tuple[StructType, list[str]]]:
+    """Schemas of a directory's files with the paths that have each; usually one."""
+    reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+    try:
+        return [(reader.parquet(path).schema, [path])]
+    except Exception as failure:
+        if "CANNOT_MERGE" not in str(failure) and "Failed to merge" not in str(failure):
+            raise
+    return _file_schemas(spark, [e.path for e in data_files(spark, path)])
+
+
+def _file_schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    groups: list[tuple[StructType, list[str]]] = []
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        same = next((files for known, files in groups if known == schema), None)
+        if same is None:
+            groups.append((schema, [path]))
+        else:
+            same.append(path)
+    return groups
 
 
 def read_observations(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -119,6 +178,10 @@ def overwrite_partitions(
     ``{"year": 2024, "month": 3}``: partitions in it that the run did not write
     hold rows of an earlier run and are emptied.
 
+    The number of files follows from the bytes: rows are dealt by partition into pieces
+    of the session's advisory size.  A partition that is there under another spelling,
+    ``month=03`` for ``month=3``, is replaced as well.
+
     Row count and written partitions are observed in the writing tasks, which
     count once however often they are tried.
     """
@@ -131,7 +194,7 @@ def overwrite_partitions(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(F.struct(*by)).alias("partitions"),
-    )
+    ).hint("rebalance", *by)
     if exists:
         _dynamic(spark, lambda: observed.write.insertInto(table, overwrite=True))
     else:
@@ -144,11 +207,16 @@ def overwrite_partitions(
             .saveAsTable(table),
         )
     rows, partitions = _written(seen.get, df, by)
-    if scope:
-        _empty_stale(spark, table, by, scope, partitions)
+    _drop_replaced(spark, table, by, scope, partitions)
     return rows
 
 
+def _number(value: object) -> object:
+    """Partition values compare as numbers where they are numbers."""
+    text = str(value)
+    return int(text) if text.lstrip("-").isdigit() else text
+
+
 def _written(metrics: dict, df: DataFrame, by: Sequence[str]) -> tuple[int, set[tuple]]:
     """Rows and partitions of a write.  Should the observation have been lost,
     they are taken from the frame, so that nothing just written passes for stale."""
@@ -157,7 +225,7 @@ def _written(metrics: dict, df: DataFrame, by: Sequence[str]) -> tuple[int, set[
     else:
         counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).collect()
         rows, partitions = sum(r["rows"] for r in counted), counted
-    return rows, {tuple(str(p[c]) for c in by) for p in partitions}
+    return rows, {tuple(_number(p[c]) for c in by) for p in partitions}
 
 
 def _dynamic(spark: SparkSession, write) -> None:
@@ -190,48 +258,114 @@ def _as_stored(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _empty_stale(
+def _drop_replaced(
     spark: SparkSession,
     table: str,
     by: Sequence[str],
-    scope: Mapping[str, int],
+    scope: Mapping[str, int] | None,
     written: set[tuple],
 ) -> None:
-    listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    partitions = [dict(kv.split("=", 1) for kv in row[0].split("/")) for row in listed]
-    nothing = spark.createDataFrame([], spark.table(table).schema).drop(*by)
-    for values in partitions:
-        owned = all(values[column] == str(value) for column, value in scope.items())
-        if not owned or tuple(values[c] for c in by) in written:
-            continue
-        spec = ", ".join(f"{c}='{values[c]}'" for c in by)
-        # A fixed partition is replaced even by an empty result.
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{nothing}}",
-            nothing=nothing,
-        )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    """Remove partitions that this write replaced or, in ``scope``, should have.
+
+    Only directories below the leading part of ``scope``, or below the first keys that
+    were written, are listed."""
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    if location is None:
+        return
+    first = {w[0] for w in written} | ({_number(scope[by[0]])} if scope and by[0] in scope else set())
+    whole = bool(scope) and by[0] not in scope
+    gone = []
+    for values, path in _partition_folders(spark, location[1], by, None if whole else first):
+        numbers = tuple(_number(v) for v in values)
+        owned = bool(scope) and all(dict(zip(by, numbers))[c] == _number(v) for c, v in scope.items())
+        other_spelling = values != tuple(str(n) for n in numbers)
+        if (numbers in written and other_spelling) or (owned and numbers not in written):
+            gone.append(path)
+    for path in gone:
+        remove(spark, path)
+    if gone:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+
+
+def _partition_folders(
+    spark: SparkSession, root: str, by: Sequence[str], first: set | None
+) -> list[tuple[tuple[str, ...], str]]:
+    """(values as spelled, path) of the partition directories; of the first key only
+    ``first``."""
+    level: list[tuple[tuple[str, ...], str]] = [((), root)]
+    for key in by:
+        below = []
+        for values, path in level:
+            for e in entries(spark, path):
+                name, _, value = e.name.partition("=")
+                if e.is_folder and name == key and (values or first is None or _number(value) in first):
+                    below.append(((*values, value), e.path))
+        level = below
+    return level
 
 
 def register_external(spark: SparkSession, table: str, path: str) -> None:
-    """Make a raw dataset a table; later calls add new partitions and columns and
-    never drop any."""
-    if not spark.catalog.tableExists(table):
-        spark.sql(
-            f"CREATE TABLE {table} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'"
+    """Make a raw dataset readable by name; later calls add new partitions and columns
+    and never drop any.
+
+    It is a table as long as every column has one type in all partitions.  Where a type
+    drifts between months, files of either type cannot be read as one table: it becomes a view that
+    reads each month by its own schema and widens the columns.  Only partitions that a
+    table does not know yet are opened."""
+    found = [f for f in folders(spark, path) if data_files(spark, f.path)] or [Folder(path)]
+    exists = spark.catalog.tableExists(table)
+    is_view = exists and spark.catalog.getTable(table).tableType == "VIEW"
+    if exists and not is_view:
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
+        known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} if partitioned else set()
+        fresh = [f for f in found if f.spelled not in known]
+        columns = StructType([f for f in spark.table(table).schema if f.name not in PERIOD or not partitioned])
+    else:
+        fresh, columns = found, StructType([])
+    groups = [(f, g) for f in fresh for g in _folder_schemas(spark, f.path)]
+    whole = merged([columns, *(schema for _, (schema, _) in groups)], widen=True)
+    if is_view or drifts(columns, whole) or any(drifts(s, whole) for _, (s, _) in groups):
+        if exists and not is_view:
+            spark.sql(f"DROP TABLE {table}")  # external: the files stay
+            groups = [(f, g) for f in found for g in _folder_schemas(spark, f.path)]
+            whole = merged([schema for _, (schema, _) in groups], widen=True)
+        _as_view(spark, table, whole, groups)
+        return
+    if not exists:
+        keys = [k for k in PERIOD if any(getattr(f, k) is not None for f in found)]
+        types = ", ".join(
+            [f"`{f.name}` {f.dataType.simpleString()}" for f in whole] + [f"{k} int" for k in keys]
         )
+        dealt = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
+        spark.sql(f"CREATE TABLE {table} ({types}) USING parquet {dealt} LOCATION '{path}'")
     else:
-        known = {name.lower() for name in spark.table(table).columns}
-        merged = spark.read.option("mergeSchema", True).parquet(path).schema
-        new = [f for f in merged if f.name.lower() not in known]
+        have = {f.name.lower() for f in columns}
+        new = [f for f in whole if f.name.lower() not in have]
         if new:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+            types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({types})")
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
 
 
+def _as_view(spark: SparkSession, table: str, whole: StructType, groups: list) -> None:
+    keys = [k for k in PERIOD if any(getattr(f, k) is not None for f, _ in groups)]
+    parts = []
+    for folder, (schema, paths) in groups:
+        have = {f.name.lower() for f in schema}
+        columns = [
+            f"CAST({f'`{f.name}`' if f.name.lower() in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in whole
+        ]
+        for k in keys:
+            value = getattr(folder, k)
+            columns.append(f"CAST({'NULL' if value is None else value} AS int) AS {k}")
+        parts += [f"SELECT {', '.join(columns)} FROM parquet.`{p}`" for p in paths]
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS {' UNION ALL '.join(parts)}")
+
+
 # --- landing --------------------------------------------------------------------
 
 
@@ -242,30 +376,64 @@ def land_periods(
     periods: Sequence[tuple[int, int]],
     skip_existing: bool = True,
     name_pattern: str = "*_{year}-{month:02d}.parquet",
+    file_bytes: int = TARGET_FILE_BYTES,
 ) -> list[dict]:
     """Bring monthly files from a landing directory into ``target``.
 
-    A file belongs to the month in its name, whatever its rows say.  Each month
-    is written on its own: files of different months differ in their schemas.
-    Returns one outcome per period: success, skipped, error.
+    A file belongs to the month in its name, whatever its rows say.  All columns of all
+    files of a month are kept; files of one month that give a column different types
+    are refused.  A month is written to the directory it is already in, however that is
+    spelled, as about one file for ``file_bytes``, and is there once the write's marker
+    is, see ``is_complete``.  Returns one outcome per period: success, skipped, path,
+    rows, error.
     """
-    done: set[tuple] = set()
-    if skip_existing:
-        done = {(r["year"], r["month"]) for r in loaded_periods(spark, target).collect()}
     outcomes = []
     for year, month in periods:
-        outcome = {"year": year, "month": month, "success": True, "skipped": False, "error": None}
-        if (year, month) in done:
-            outcome["skipped"] = True
+        there = folders(spark, target, year, month)
+        path = there[0].path if there else f"{target.rstrip('/')}/year={year}/month={month}"
+        outcome = {
+            "year": year, "month": month, "success": True, "skipped": False,
+            "path": path, "rows": None, "error": None,
+        }
+        whole = next((f.path for f in there if is_complete(spark, f.path)), None)
+        if skip_existing and whole:
+            outcome.update(skipped=True, path=whole)
         else:
             try:
-                found = spark.read.option(
-                    "pathGlobFilter", name_pattern.format(year=year, month=month)
-                ).parquet(landing)
-                found.write.mode("overwrite").parquet(
-                    f"{target.rstrip('/')}/year={year}/month={month}"
-                )
+                files = data_files(spark, landing, name_pattern.format(year=year, month=month))
+                if not files:
+                    raise FileNotFoundError(f"no files of {year}-{month:02d} in {landing}")
+                raw = read_raw(spark, [e.path for e in files])
+                count = max(1, math.ceil(sum(e.length for e in files) / file_bytes))
+                raw.coalesce(count).write.mode("overwrite").parquet(path)
+                for other in there[1:]:
+                    remove(spark, other.path)
+                outcome["rows"] = spark.read.parquet(path).count()  # from the footers
             except Exception as failure:  # one month's failure leaves the others
-                outcome.update(success=False, error=str(failure).splitlines()[0])
+                outcome.update(success=False, error=cause_of(failure))
         outcomes.append(outcome)
     return outcomes
+
+
+def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files of one month with all their columns, each read by its own schema."""
+    groups = _file_schemas(spark, paths)
+    try:
+        whole = merged([schema for schema, _ in groups])
+    except SchemaConflict as conflict:
+        named = "; ".join(f"{', '.join(files)}: {schema.simpleString()}" for schema, files in groups)
+        raise SchemaConflict(f"{conflict} ({named})") from None
+    out = None
+    for schema, files in groups:
+        part = as_schema(spark.read.schema(schema).parquet(*files), whole)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def cause_of(failure: Exception) -> str:
+    """The first line of what went wrong at the root."""
+    java = getattr(failure, "java_exception", None) or getattr(failure, "_origin", None)
+    while java is not None and java.getCause() is not None:
+        java = java.getCause()
+    text = java.toString() if java is not None else f"{type(failure).__name__}: {failure}"
+    return next((line for line in text.splitlines() if line.strip()), type(failure).__name__)

@@ -100,7 +100,7 @@ def test_a_run_found_empty_while_running(spark, scratch):
 
 def test_lost_observation(spark):
     df = frame(spark, (1, 2024, 1), (2, 2024, 2), (3, 2024, 2))
-    assert _written({}, df, ("year", "month")) == (3, {("2024", "1"), ("2024", "2")})
+    assert _written({}, df, ("year", "month")) == (3, {(2024, 1), (2024, 2)})
 
 
 def test_a_new_table_over_an_old_path(spark, scratch):
