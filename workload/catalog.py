@@ -22,6 +22,7 @@ from workload.surrogate import (
     MONTH,
     YEAR,
     observations_raw,
+    order_inventory,
     order_months,
     price_series,
     shifted_orders,
@@ -92,6 +93,17 @@ def scan_partition(spark: SparkSession, sf: str) -> DataFrame:
     return read_partition(spark, f"{sf}/orders.parquet", 1998, 6, on="o_orderdate")
 
 
+@query
+def scan_year(spark: SparkSession, sf: str) -> DataFrame:
+    return read_partition(spark, f"{sf}/orders.parquet", 1998, on="o_orderdate")
+
+
+@query
+def scan_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    order_months(spark, sf).createOrReplaceTempView("orders_by_month")
+    return in_period(spark.table("orders_by_month"), 1998, 6)
+
+
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
     """Months that saw an order of at least 495000."""
     highest = order_months(spark, sf).groupBy("year", "month").agg(
@@ -235,6 +247,12 @@ def daily_weather(spark: SparkSession, sf: str) -> DataFrame:
     return _daily(spark, sf)
 
 
+@query
+def missing_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows of observations that have no temperature, wind and rain fields."""
+    return weather.observations_to_daily(observations_raw(spark, sf).select("DATE"))
+
+
 # --- filters, de-duplication, gaps --------------------------------------------------------
 
 
@@ -392,9 +410,12 @@ def value_ranges(spark: SparkSession, sf: str) -> DataFrame:
         c.Range("l_extendedprice", 0, 1_000_000, low_inclusive=False, high_inclusive=False),
     )
     tight = (c.Range("l_quantity", 1, 50, low_inclusive=False), c.Range("l_tax", 0, 0.08))
+    twice = (c.Range("l_quantity", 10, 40), c.Range("l_quantity", 0, 100))
     passing = _check(lines, c.value_ranges(ranges), name="lineitem", year=1998, month=1)
     failing = _check(lines, c.value_ranges(tight), name="lineitem", year=1998, month=1)
-    return passing.unionByName(failing)
+    # Two rules on one column, of which the first is broken.
+    both = _check(lines, c.value_ranges(twice), name="lineitem", year=1998, month=1)
+    return passing.unionByName(failing).unionByName(both)
 
 
 @query
@@ -438,22 +459,124 @@ def unexpected_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cross_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """As it should be, with more wanted than is kept, and with the layers swapped."""
     raw = trips_raw(spark, sf)
     tables = {"bronze": raw, "silver": trips.clean_trips(raw, YEAR, MONTH)}
-    return _verdicts(
-        c.run_checks(tables, [c.cross_layer_counts()], "silver", "trips", YEAR, MONTH)
-    )
+    swapped = {"bronze": tables["silver"], "silver": raw}
+    runs = [
+        _verdicts(c.run_checks(layers, [check], "silver", "trips", YEAR, MONTH))
+        for layers, check in (
+            (tables, c.cross_layer_counts()),
+            (tables, c.cross_layer_counts(0.99)),
+            (swapped, c.cross_layer_counts()),
+        )
+    ]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
 
 
 @query
 def gold_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of all trips, and of the trips of one vendor only."""
     silver = _silver(spark, sf)
-    tables = {"gold": trips.daily_trip_metrics(silver), "silver": silver}
-    return _verdicts(
-        c.run_checks(tables, [c.gold_reconciliation()], "gold", "daily", YEAR, MONTH)
+    runs = [
+        _verdicts(
+            c.run_checks(
+                {"gold": trips.daily_trip_metrics(rows), "silver": silver},
+                [c.gold_reconciliation()], "gold", "daily", YEAR, MONTH,
+            )
+        )
+        for rows in (silver, silver.filter("vendor_id = 1"))
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+# --- files ------------------------------------------------------------------------------
+
+FULL, EMPTY = (1998, 6), (2010, 1)  # a month with orders, and one without
+
+
+def _file_rows(spark: SparkSession, sf: str, *runs) -> DataFrame:
+    """Check rows of (month, check) over the inventory of the orders."""
+    files = order_inventory(spark, sf)
+    out = None
+    for (y, m), check in runs:
+        tables = {"files": in_period(files, y, m)}
+        rows = _verdicts(c.run_checks(tables, [check], "bronze", "orders", y, m))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def files_exist(spark: SparkSession, sf: str) -> DataFrame:
+    return _file_rows(spark, sf, (FULL, c.files_exist()), (EMPTY, c.files_exist()))
+
+
+@query
+def total_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    few, many = c.total_bytes(1), c.total_bytes(10**12)
+    return _file_rows(spark, sf, (FULL, few), (FULL, many), (EMPTY, few))
+
+
+@query
+def file_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Within the ceiling, above it, above it but with enough bytes a file, and none."""
+    return _file_rows(
+        spark, sf,
+        (FULL, c.file_count(1, 10**6)),
+        (FULL, c.file_count(1, 1)),
+        (FULL, c.file_count(1, 1, bytes_per_file=10)),
+        (FULL, c.file_count(1, 1, bytes_per_file=10**9)),
+        (EMPTY, c.file_count(1, 5)),
+    )
+
+
+@query
+def freshness(spark: SparkSession, sf: str) -> DataFrame:
+    now = F.lit("1998-07-02 06:00:00").cast("timestamp")
+    return _file_rows(
+        spark, sf,
+        (FULL, c.freshness(24 * 31, now)),
+        (FULL, c.freshness(1, now)),
+        (EMPTY, c.freshness(48, now)),
     )
 
 
+def _bronze(spark: SparkSession, sf: str, table_name: str, month: int | None) -> DataFrame:
+    """The bronze suite of a period with files, with too tight limits, and without files."""
+    files = order_inventory(spark, sf)
+    wide, tight = suites.FileLimits(1, 10**6), suites.FileLimits(10**12, 1, 10**9)
+    out = None
+    for (y, _), limits in ((FULL, wide), (FULL, tight), (EMPTY, wide)):
+        rows = _verdicts(suites.file_checks(files, limits, "bronze", table_name, y, month))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def suite_bronze_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return _bronze(spark, sf, suites.TRIP_TABLE, 6)
+
+
+@query
+def suite_bronze_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return _bronze(spark, sf, suites.WEATHER_TABLE, None)
+
+
+@query
+def gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Row checks run where the files are there, and not where they are missing."""
+    files, orders = order_inventory(spark, sf), order_months(spark, sf)
+    rows = []
+    for y, m in (FULL, EMPTY):
+        first = suites.file_checks(files, suites.FileLimits(1), "bronze", "orders", y, m)
+        inside = in_period(orders, y, m)
+        rows += suites.gated(
+            first,
+            lambda: c.run_checks({"rows": inside}, [c.row_count_floor(50)], "silver", "orders", y, m),
+        )
+    return _verdicts(spark.createDataFrame(rows, c.CHECK_SCHEMA))
+
+
 @query
 def suite_silver_trips(spark: SparkSession, sf: str) -> DataFrame:
     return _verdicts(suites.silver_trip_checks(_silver(spark, sf), YEAR, MONTH, SMALL))

@@ -216,6 +216,11 @@ SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS day,
 FROM orders GROUP BY o_orderstatus, CAST(o_orderdate AS DATE)""",
     "loaded": """
 SELECT year, month FROM order_months GROUP BY year, month HAVING max(o_totalprice) >= 495000""",
+    "file_months": """
+SELECT w.y, w.m, count(o.o_orderkey) AS n, sum(o.o_orderkey % 1000)::BIGINT AS bytes,
+    max(o.o_orderdate) AS newest
+FROM (VALUES (1998, 6), (2010, 1)) AS w(y, m)
+LEFT JOIN order_months o ON o.year = w.y AND o.month = w.m GROUP BY w.y, w.m""",
     "trend_runs": """
 SELECT * FROM (VALUES (2000, 6), (2001, 8), (1995, 2)) AS v(y, m)""",
     "trend_counts": """
@@ -283,9 +288,32 @@ def check(
     AS v(check_name, passed, metric_value, threshold, severity)"""
 
 
+CHECKED = "'bronze' AS layer, 'orders' AS table_name, y AS year, m AS month"
+
+
+def bronze(table: str, month: str, when: str) -> str:
+    """Rows of a bronze suite: wide limits, tight ones, and a period without files."""
+    return f"""SELECT 'bronze' AS layer, '{table}' AS table_name, y AS year, {month} AS month, v.*
+FROM (SELECT r.y, r.small, r.most, r.each_, count(o.o_orderkey) AS n,
+          sum(o.o_orderkey % 1000)::BIGINT AS bytes
+      FROM (VALUES (1998, 1, 1000000, 8388608), (1998, 1000000000000, 1, 1000000000),
+          (2010, 1, 1000000, 8388608)) AS r(y, small, most, each_)
+      LEFT JOIN (SELECT * FROM order_months WHERE {when}) o ON o.year = r.y GROUP BY ALL)
+CROSS JOIN LATERAL (VALUES
+    ('s3_object_exists', n > 0, NULL::DOUBLE, NULL::DOUBLE, 'error'),
+    ('s3_file_size', coalesce(bytes >= small, false), bytes::DOUBLE,
+        CASE WHEN bytes IS NOT NULL THEN small::DOUBLE END, 'error'),
+    ('s3_file_count', n BETWEEN 1 AND greatest(most, ceil(coalesce(bytes, 0) / each_::DOUBLE)),
+        n::DOUBLE, NULL::DOUBLE, 'error')
+    ) AS v(check_name, passed, metric_value, threshold, severity)"""
+
+
 SELECTS = {
     "scan_partition": """SELECT * FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",
+    "scan_year": """SELECT * FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'""",
+    "scan_catalog": "SELECT * FROM order_months WHERE year = 1998 AND month = 6",
     "missing_periods": """SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month
 FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
         date_trunc('month', max(o_orderdate) + INTERVAL 6 MONTH), INTERVAL 1 MONTH)) AS m
@@ -329,6 +357,9 @@ FROM (SELECT event_id, ts, ts + to_milliseconds((event_id % 7919) * 1000 + 750)
     "parse_precipitation": f"SELECT event_id, {MILLIMETRES} AS millimetres FROM observations",
     "parse_wind": f"SELECT event_id, {WIND_SPEED} AS metres_per_second FROM observations",
     "daily_weather": "SELECT * FROM daily_obs",
+    "missing_fields": """SELECT date, NULL::DOUBLE AS temp_avg_celsius, NULL::DOUBLE AS temp_min_celsius,
+    NULL::DOUBLE AS temp_max_celsius, 0.0::DOUBLE AS precip_total_mm, NULL::DOUBLE AS wind_avg_ms,
+    observation_count FROM daily_obs""",
     "valid_trips": "SELECT * FROM valid",
     "rejected_trips": f"""SELECT pickup_datetime, pickup_location_id,
     concat_ws(',', {BROKEN}) AS failed_rules
@@ -404,10 +435,13 @@ FROM conformed WHERE {IN_JANUARY}""",
     avg((l_discount < 0 OR l_discount > 0.1)::INT) AS b,
     avg((l_extendedprice <= 0 OR l_extendedprice >= 1000000)::INT) AS c,
     avg((l_quantity <= 1 OR l_quantity > 50)::INT) AS d,
-    avg((l_tax < 0 OR l_tax > 0.08)::INT) AS e FROM lineitem""",
+    avg((l_tax < 0 OR l_tax > 0.08)::INT) AS e,
+    avg((l_quantity < 10 OR l_quantity > 40)::INT) AS f,
+    avg((l_quantity < 0 OR l_quantity > 100)::INT) AS g FROM lineitem""",
         [
             ("value_ranges", "a <= 0.005 AND b <= 0.005 AND c <= 0.005", "NULL", "NULL", "error"),
             ("value_ranges", "d <= 0.005 AND e <= 0.005", "NULL", "NULL", "error"),
+            ("value_ranges", "f <= 0.005 AND g <= 0.005", "NULL", "NULL", "error"),
         ],
         year=1998,
     ),
@@ -454,16 +488,58 @@ CROSS JOIN (SELECT count(*) AS n FROM rides) r""",
                 "s::DOUBLE / r::DOUBLE",
                 "0.5",
                 "error",
-            )
+            ),
+            (
+                "cross_layer_counts",
+                "s <= r AND s::DOUBLE / r::DOUBLE >= 0.99",
+                "s::DOUBLE / r::DOUBLE",
+                "0.99",
+                "error",
+            ),
+            (
+                "cross_layer_counts",
+                "r <= s AND r::DOUBLE / s::DOUBLE >= 0.5",
+                "r::DOUBLE / s::DOUBLE",
+                "0.5",
+                "error",
+            ),
         ],
     ),
     "gold_reconciliation": check(
         "daily",
-        """SELECT g.n AS g, s.n AS s FROM (SELECT sum(total_trips) AS n FROM metrics) g
-CROSS JOIN (SELECT count(*) AS n FROM silver) s""",
-        [("gold_reconciliation", "g = s", "g", "s", "error")],
+        """SELECT g.n AS g, s.n AS s, s.one AS one FROM (SELECT sum(total_trips) AS n FROM metrics) g
+CROSS JOIN (SELECT count(*) AS n, count(*) FILTER (vendor_id = 1) AS one FROM silver) s""",
+        [
+            ("gold_reconciliation", "g = s", "g", "s", "error"),
+            ("gold_reconciliation", "one = s", "one", "s", "error"),
+        ],
         layer="gold",
     ),
+    "files_exist": f"""SELECT {CHECKED}, 's3_object_exists' AS check_name, n > 0 AS passed,
+    NULL::DOUBLE AS metric_value, NULL::DOUBLE AS threshold, 'error' AS severity
+FROM file_months""",
+    "total_bytes": f"""SELECT {CHECKED}, 's3_file_size' AS check_name, coalesce(bytes >= least_, false) AS passed,
+    bytes::DOUBLE AS metric_value, CASE WHEN bytes IS NOT NULL THEN least_::DOUBLE END AS threshold,
+    'error' AS severity
+FROM file_months JOIN (VALUES (1998, 1), (1998, 1000000000000), (2010, 1)) AS v(y, least_) USING (y)""",
+    "file_count": f"""SELECT {CHECKED}, 's3_file_count' AS check_name,
+    n BETWEEN 1 AND greatest(most, ceil(coalesce(bytes, 0) / each_::DOUBLE)) AS passed,
+    n::DOUBLE AS metric_value, NULL::DOUBLE AS threshold, 'error' AS severity
+FROM file_months JOIN (VALUES (1998, 1000000, 1e18), (1998, 1, 1e18), (1998, 1, 10), (1998, 1, 1e9),
+    (2010, 5, 1e18)) AS v(y, most, each_) USING (y)""",
+    "freshness": f"""SELECT {CHECKED}, 's3_freshness' AS check_name, coalesce(hours <= most, false) AS passed,
+    hours AS metric_value, CASE WHEN hours IS NOT NULL THEN most::DOUBLE END AS threshold, 'error' AS severity
+FROM (SELECT *, (epoch_us(TIMESTAMP '1998-07-02 06:00:00') - epoch_us(newest)) / 3.6e9::DOUBLE AS hours
+      FROM file_months) JOIN (VALUES (1998, 744), (1998, 1), (2010, 48)) AS v(y, most) USING (y)""",
+    "suite_bronze_trips": bronze("yellow_taxi_trips", "6", "month = 6"),
+    "suite_bronze_weather": bronze("nyc_weather_daily", "CAST(NULL AS INTEGER)", "true"),
+    "gate": f"""SELECT {CHECKED}, v.* FROM file_months CROSS JOIN LATERAL (VALUES
+    ('s3_object_exists', n > 0, NULL::DOUBLE, NULL::DOUBLE, 'error'),
+    ('s3_file_size', coalesce(bytes >= 1, false), bytes::DOUBLE,
+        CASE WHEN bytes IS NOT NULL THEN 1::DOUBLE END, 'error')
+    ) AS v(check_name, passed, metric_value, threshold, severity)
+UNION ALL SELECT 'silver', 'orders', y, m, 'row_count_floor', n >= 50, n::DOUBLE, 50::DOUBLE, 'error'
+FROM file_months WHERE n > 0""",
     "suite_silver_trips": "SELECT * FROM suite_trips",
     "suite_silver_weather": "SELECT * FROM suite_weather",
     "suite_gold": check(

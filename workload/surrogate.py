@@ -107,3 +107,13 @@ def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max("o_totalprice").alias("price"))
     )
     return highest.withColumn("price", F.when(~gap, F.col("price")))
+
+
+def order_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the file inventory of a dataset: one row per month with files, bytes
+    and the newest modification."""
+    return order_months(spark, sf_dir).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum(F.col("o_orderkey") % 1000).alias("bytes"),
+        F.max(F.col("o_orderdate").cast("timestamp")).alias("newest"),
+    )
