@@ -47,17 +47,18 @@ def _system(spark: SparkSession, path: str):
 
 
 def entries(spark: SparkSession, path: str) -> list[Entry]:
-    """Contents of one directory; none if it does not exist."""
+    """Contents of one directory by name; none if it does not exist."""
     system, where = _system(spark, path)
     if not system.exists(where):
         return []
-    return [
+    found = [
         Entry(
             s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen(),
             s.getModificationTime(),
         )
         for s in system.listStatus(where)
     ]
+    return sorted(found, key=lambda e: e.name)
 
 
 def remove(spark: SparkSession, path: str) -> None:
