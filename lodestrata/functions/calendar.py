@@ -103,6 +103,7 @@ def latest_published(as_of: date, lag: int = 2) -> tuple[int, int]:
 
 
 def in_any_period(periods: Iterable[tuple[int, int]]) -> Column:
-    """Partition predicate: the row's month is one of ``periods``.  Spelled out
-    with OR, which a catalog can use to list only these partitions."""
-    return F.expr(" OR ".join(f"(year = {int(y)} AND month = {int(m)})" for y, m in periods))
+    """Partition predicate: the row's month is one of ``periods``; no row's if there are
+    none.  Spelled out with OR, which a catalog can use to list only these partitions."""
+    months = [f"(year = {int(y)} AND month = {int(m)})" for y, m in periods]
+    return F.expr(" OR ".join(months) or "false")
