@@ -36,6 +36,9 @@ from lodestrata.llm.common import list_array, map_texts, stored
 WORDS = 5
 PERCENT = 80
 CHUNK = 2048
+#: Tables of links and nodes of up to so many rows (16 bytes each) are broadcast or handled
+#: in one task; larger ones are shuffled.
+SMALL = 200_000
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -318,15 +321,18 @@ def verified(
     """Pairs (a, b) with 100 * intersection >= percent * union; a stored table.
 
     Only the texts of the pairs' nodes are taken apart again."""
+    few = 2 * pairs.count() <= SMALL
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = stored(nodes.join(used, "node").select(F.col("first").alias("doc_id"), "node"), "chosen")
-    sets = stored(_sets(docs, chosen, doc_id, text), "sets")
+    chosen = nodes.join(F.broadcast(used) if few else used, "node")
+    chosen = stored(chosen.select(F.col("first").alias("doc_id"), "node"), "chosen")
+    sets = stored(_sets(docs, F.broadcast(chosen) if few else chosen, doc_id, text), "sets")
 
     def side(c: str) -> DataFrame:
         return sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shingles").alias(f"s{c}"))
 
     common = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", common.alias("c"))
+    left = side("a").join(F.broadcast(pairs) if few else pairs, "a")
+    both = left.join(side("b"), "b").select("a", "b", "na", "nb", common.alias("c"))
     return stored(both.where(F.expr(f"c * 100 >= (na + nb - c) * {int(percent)}")).select("a", "b"), "edges")
 
 
@@ -337,25 +343,31 @@ def components(edges: DataFrame) -> DataFrame:
     logarithm of a component's width; every round is a written table."""
     links = stored(_oriented(edges), "links")
     before = None
+    # Edges only get fewer.  In one task, grouping and joining them takes no exchange.
+    few = links.count() <= SMALL
     while True:
+        links = links.coalesce(1) if few else links
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or state[0] == 0:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("component"))
-            ).distinct()
+            ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.col("b").alias("component"))
+            return ends.distinct()
         before = state
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = _both_ways(links)
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         wide = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         wide = _oriented(wide)
         least = wide.groupBy("a").agg(F.min("b").alias("m"))
         near = wide.join(least, "a")
-        near = near.select("a", F.col("m").alias("b")).unionByName(
-            near.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
+        near = near.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         links = stored(_oriented(near), "links")
 
 
+def _both_ways(links: DataFrame) -> DataFrame:
+    """Every link from either end; a union would take an exchange where this takes none."""
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return links.select(F.inline(ends))
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     return (
         edges.where("a <> b")
@@ -364,11 +376,10 @@ def _oriented(edges: DataFrame) -> DataFrame:
     )
 
 
-def _apart(live: DataFrame, found: DataFrame, sketches: DataFrame, every: bool) -> DataFrame:
+def _apart(members: DataFrame, found: DataFrame, sketches: DataFrame, every: bool) -> DataFrame:
     """(key, a, b): pairs of different components that share a block and that sketches
     allow, every one or those of a forest."""
-    members = live.select("key", "node").unionByName(live.select("key", F.col("rep").alias("node")))
-    members = members.distinct().join(found, "node", "left").select(
+    members = members.join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
     groups = members.groupBy("key").agg(
@@ -447,7 +458,9 @@ def join(
         ),
         "nodes",
     )
-    alive = live.select("node").unionByName(live.select(F.col("rep").alias("node"))).distinct()
+    members = live.select("key", "node").unionByName(live.select("key", F.col("rep").alias("node")))
+    members = stored(members.distinct(), "members")
+    alive = members.select("node").distinct()
     sketches = stored(
         rows.select("node", F.col("n_shingles").alias("n"), "sketch")
         .join(alive, "node", "left_semi")
@@ -470,7 +483,7 @@ def join(
     # without an allowed pair never gets one later and is left out from then on.
     every = False
     while True:
-        near = stored(_apart(live, found, sketches, every), "near")
+        near = stored(_apart(members, found, sketches, every), "near")
         pairs = stored(near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more = False
         if not pairs.isEmpty():
@@ -483,7 +496,7 @@ def join(
             break
         every = not more
         tried = tried.unionByName(pairs)
-        live = live.join(near.select("key").distinct(), "key", "left_semi")
+        members = stored(members.join(near.select("key").distinct(), "key", "left_semi"), "members")
     nameless = _documents(docs.where(F.col(f"`{doc_id}`").isNull()), doc_id, text)
     return _named(rows, nodes, found).unionByName(
         nameless.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
