@@ -511,8 +511,7 @@ def _named(rows: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     plain = rows.select("doc_id", "n_shingles", "node")
     # Nodes with a thousandth of all rows, at most a thousand, are broadcast: their rows
     # stay where they are.
-    total = F.broadcast(rows.agg(F.count("*").alias("total")))
-    marked = stored(named.crossJoin(total).withColumn("hot", F.expr("copies * 1000 > total")), "names")
+    marked = stored(named.withColumn("hot", F.col("copies") * 1000 > rows.count()), "names")
     hot = F.broadcast(marked.where("hot").select("node", "component_id"))
     cold = marked.where("NOT hot").select("node", "component_id")
     last = F.coalesce("component_id", "doc_id").alias("component_id")

@@ -127,13 +127,11 @@ def learn(
         .where(F.col("lang").isin(langs))
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= per_lang)
-        .select("id", F.col("lang").alias("its"), "order")
+        .select("id", "lang")
         .distinct()
-        .collect()
     )
-    wanted = {r["id"] for r in picked}
-    sample = ids.where(F.col("id").isin(list(wanted)) & F.col("lang").isin(langs))
-    sample = sample.dropDuplicates(["id"])
+    # At most per_lang * max_langs rows of an id and a language.
+    sample = ids.join(F.broadcast(picked), ["id", "lang"]).dropDuplicates(["id"])
 
     def make():
         def work(texts: list[str | None]) -> list:
