@@ -40,4 +40,32 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2}
+#: Shingles joined as text, pairs with a common one, and whatever links reach.
+OP7 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)
+), ends AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, e.b FROM reach r JOIN ends e ON e.a = r.other
+)
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM words w LEFT JOIN sizes z ON z.doc_id = w.doc_id JOIN reach r ON r.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op7_jaccard_join": OP7}
