@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StringType, StructType
 
 #: Text handled at a time inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,7 @@ def map_texts(
 
     ``make`` runs once in a task and returns the function for a slice of texts (null
     as None), which returns a list of values, or an Arrow array, for each new column.
+    Its attribute ``close``, if it has one, is called when the task's rows are done.
     Rows are neither dropped nor reordered.  New columns must not be named as kept ones.
     """
     keep = list(df.columns if keep is None else keep)
@@ -104,6 +105,9 @@ def map_texts(
                 ]
                 own = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(own + made, names=names)
+        # Python workers live on for other tasks: leave nothing in them.
+        getattr(work, "close", lambda: None)()
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, out)
 

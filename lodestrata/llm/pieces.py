@@ -159,6 +159,11 @@ class PieceModel:
                 self.units[unit] = found
         return found
 
+    def forget(self) -> None:
+        """Empty the tables of units and pairs."""
+        self.units.clear()
+        self.pairs.clear()
+
     def encode_unit(self, unit: str) -> list[int]:
         ids: list[int] = []
         for piece in self.cover(unit.replace(" ", SPACE)):
@@ -239,6 +244,7 @@ def encode(
         def work(texts: list[str | None]) -> list:
             return [_numbers([m.digest(t)[0] for t in texts])]
 
+        work.close = m.forget
         return work
 
     return map_texts(docs, text, [("ids", pa.list_(pa.int32()))], make, keep)
@@ -284,6 +290,7 @@ def digests(
                     all_ids.append(ids)
             return [counts, ids_sha, text_sha, *([_numbers(all_ids)] if with_ids else [])]
 
+        work.close = m.forget
         return work
 
     schema = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
