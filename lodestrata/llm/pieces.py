@@ -78,8 +78,12 @@ class PieceModel:
         # A line break is a unit of its own, as it is in no piece; so is what follows a
         # word where no piece has that sign after a letter.
         joined = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalpha()}
-        signs = "".join(re.escape(c) for c in _SIGNS if c not in joined)
-        after = rf" *[^\W\d_]+(?=[{signs}])|" if signs else ""
+        signs = [c for c in _SIGNS if c not in joined]
+        # A word's part may hold more than letters, such as superscripts and fractions;
+        # those with a sign after them in a piece end no word.
+        before = {a for p in self.ids for a, b in zip(p, p[1:]) if b in signs and re.match(r"[^\W\d_]", a)}
+        word = rf"[^\W\d_{''.join(map(re.escape, sorted(before)))}]"
+        after = rf" *{word}+(?=[{''.join(map(re.escape, signs))}])|" if signs else ""
         self.split = re.compile(after + r" +[^ \n]*|[^ \n]+|\n").findall
 
     # --- encoding ------------------------------------------------------------------

@@ -31,6 +31,26 @@ def test_random_texts_as_the_library(library):
         assert model.encode(text) == want
 
 
+def test_signs_after_superscripts_and_fractions(library):
+    model, rng = p.model(PATH), random.Random(6)
+    odd = [*PARTS, "²", "½", "³", "¹", "Ⅷ", "km²", " km².", "x³)", "m².", ".", ")", ";"]
+    texts = [" km².", "km².", "10 km², 3 m³. ½.", *("".join(rng.choice(odd) for _ in range(rng.randint(1, 10))) for _ in range(5000))]
+    for text in texts:
+        want = library.encode(text)
+        ids, decoded = model.digest(text)
+        assert ids == ",".join(map(str, want)).encode(), repr(text)
+        assert decoded == library.decode(want), repr(text)
+
+
+def test_every_pair_cut_apart_is_in_no_piece():
+    model = p.model(PATH)
+    pairs = {(a, b) for piece in model.ids for a, b in zip(piece, piece[1:])}
+    for a in map(chr, [*range(33, 0xD800), *range(0xE000, 0x20000)]):
+        for b in p._SIGNS:
+            if len(model.split(a + b)) == 2:
+                assert (a, b) not in pairs, a + b
+
+
 def test_long_runs(library):
     model = p.model(PATH)
     for text in (" " * 5000 + "x", "a" * 3000, "ab " * 4000, "\n" * 3000, "thhe" * 2000, "日" * 2000):
