@@ -26,7 +26,6 @@ BUCKETS = 1 << 14
 MAX_TARGET = 20_000
 SHARPNESS = 32.0
 SMOOTHING = 1.0
-KEEP = 0.85
 RANGES = 1024
 
 
@@ -82,12 +81,24 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return logs(target) - logs(raw)
 
 
+def judged(labels: DataFrame) -> DataFrame:
+    """doc_id and quality of each labelled id; null labels and ids are left out, and ids
+    labelled both ways are not good."""
+    known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
+    return known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def good_share(labels: DataFrame) -> float:
+    """Share of good ids among the labelled ones; 1 without labels, as nothing is known to be poor."""
+    share = judged(labels).agg(F.avg("quality")).first()[0]
+    return 1.0 if share is None else share
+
+
 def target_counts(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET) -> np.ndarray:
     """Counts over at most ``most`` labelled good documents, those with the smallest hash of
-    the id; null labels and ids are left out, and ids labelled both ways."""
+    the id."""
     good = (
-        labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
-        .groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
+        judged(labels).where("quality = 1")
         .orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(most)
     )
     ids = F.broadcast(good)  # at most ``most`` rows
@@ -142,10 +153,11 @@ def boundary(keyed: DataFrame, k: int) -> float:
 
 
 def resample(
-    docs: DataFrame, labels: DataFrame, keep: float = KEEP, seed: int = 11, most: int = MAX_TARGET
+    docs: DataFrame, labels: DataFrame, keep: float | None = None, seed: int = 11, most: int = MAX_TARGET
 ) -> DataFrame:
     """Per row: doc_id, ``n_grams``, ``log_weight``, ``key``, ``selected`` for the ceil(keep * rows)
     largest keys; rows that tie with the last of them, such as repeated rows, are selected too.
+    If ``keep`` is not given, it is the share of good ids among the labelled ones.
 
     Null and empty texts have weight 0 and take part.  Without labelled good documents
     all weights are 0, and the sample is uniform.  An empty table gives an empty one."""
@@ -156,5 +168,6 @@ def resample(
     rows = keyed.count()
     if not rows:
         return keyed.select("doc_id", "n_grams", "log_weight", "key", F.lit(False).alias("selected"))
-    edge = boundary(keyed, int(np.ceil(keep * rows)))
-    return keyed.select("doc_id", "n_grams", "log_weight", "key", (F.col("key") >= edge).alias("selected"))
+    wanted = int(np.ceil((good_share(labels) if keep is None else keep) * rows))
+    selected = F.col("key") >= boundary(keyed, wanted) if wanted else F.lit(False)
+    return keyed.select("doc_id", "n_grams", "log_weight", "key", selected.alias("selected"))

@@ -64,3 +64,17 @@ def test_edges(spark, documents, prose):
     assert s.resample(documents([]), none).count() == 0
     found = s.resample(documents([(i, prose(5, i)) for i in range(10)]), none, keep=0.3)
     assert found.where(F.col("log_weight") == 0).count() == 10 and found.where("selected").count() == 3
+
+
+def test_the_kept_share_is_that_of_good_labels(spark, documents, prose):
+    rows, _ = corpus(prose, 60)
+    docs = documents(rows)
+
+    def kept(labels):
+        return s.resample(docs, spark.createDataFrame(labels, LABELS)).where("selected").count()
+
+    half = [(i, int(i % 2), 0) for i in range(40)]
+    assert kept(half) == 30
+    assert kept([*half, (1, 0, 0), (None, 1, 0), (50, None, 0)]) == math.ceil(60 * 19 / 40)
+    assert kept([(i, 0, 0) for i in range(9)]) == 0
+    assert kept([]) == 60
