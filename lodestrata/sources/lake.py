@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from lodestrata.operators.rules import in_period
 from lodestrata.sources.inventory import (
+    Entry,
     Folder,
     data_files,
     entries,
@@ -25,6 +27,8 @@ LAYERS = ("bronze", "silver", "gold")
 PERIOD = ("year", "month")
 #: Bytes of raw files that go into one landed file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+#: Table properties with the fingerprint of a registered partition's files.
+_MARK = "lodestrata.files."
 
 
 @dataclass(frozen=True)
@@ -311,15 +315,19 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
 
     It is a table as long as every column has one type in all partitions.  Where a type
     drifts between months, files of either type cannot be read as one table: it becomes a view that
-    reads each month by its own schema and widens the columns.  Only partitions that a
-    table does not know yet are opened."""
-    found = [f for f in folders(spark, path) if data_files(spark, f.path)] or [Folder(path)]
+    reads each month by its own schema and widens the columns.  Of a table only partitions
+    are opened that it does not know yet, or whose files are others than when they were opened."""
+    listed = [(f, data_files(spark, f.path)) for f in folders(spark, path)]
+    found = [f for f, files in listed if files] or [Folder(path)]
+    marks = {_MARK + f.spelled: _fingerprint(files) for f, files in listed if files}
     exists = spark.catalog.tableExists(table)
     is_view = exists and spark.catalog.getTable(table).tableType == "VIEW"
     if exists and not is_view:
         partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
         known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} if partitioned else set()
-        fresh = [f for f in found if f.spelled not in known]
+        seen = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        marks = {k: v for k, v in marks.items() if seen.get(k) != v}
+        fresh = [f for f in found if f.spelled not in known or _MARK + f.spelled in marks]
         columns = StructType([f for f in spark.table(table).schema if f.name not in PERIOD or not partitioned])
     else:
         fresh, columns = found, StructType([])
@@ -347,9 +355,17 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({types})")
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.sql(f"MSCK REPAIR TABLE {table}")
+    if marks:
+        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in marks.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
     spark.catalog.refreshTable(table)
 
 
+def _fingerprint(files: Sequence[Entry]) -> str:
+    """Changes with the names, lengths or modification times of files."""
+    return hashlib.sha256(repr([(e.name, e.length, e.modified) for e in files]).encode()).hexdigest()[:32]
+
+
 def _as_view(spark: SparkSession, table: str, whole: StructType, groups: list) -> None:
     keys = [k for k in PERIOD if any(getattr(f, k) is not None for f, _ in groups)]
     parts = []

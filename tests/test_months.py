@@ -228,6 +228,20 @@ def test_a_table_whose_type_starts_to_drift(spark, scratch):
     assert values(spark.table(t), "id", "n", "extra") == [(1, 1.0, None), (2, None, "x"), (3, 1.5, None)]
 
 
+def test_a_month_that_is_landed_again(spark, scratch):
+    for m in (1, 2):
+        put(scratch + f"/r/year=2024/month={m}/a.parquet", {"id": [m], "n": [m]})
+    t = fresh_name()
+    register_external(spark, t, scratch + "/r")
+    put(scratch + "/r/year=2024/month=1/a.parquet", {"id": [1], "n": [1], "extra": ["x"]})
+    register_external(spark, t, scratch + "/r")
+    assert spark.catalog.getTable(t).tableType == "EXTERNAL"
+    assert values(spark.table(t), "id", "n", "extra") == [(1, 1, "x"), (2, 2, None)]
+    put(scratch + "/r/year=2024/month=1/a.parquet", {"id": [1], "n": [1.5], "extra": ["x"]})
+    register_external(spark, t, scratch + "/r")
+    assert values(spark.table(t), "id", "n", "extra") == [(1, 1.5, "x"), (2, 2.0, None)]
+
+
 def test_merged_schemas(spark):
     a, b = (spark.createDataFrame([], s).schema for s in ("a int, b date, c string", "A bigint, b timestamp, c double, d int"))
     whole = merged([a, b], widen=True)
