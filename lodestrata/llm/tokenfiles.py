@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
@@ -30,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import slices
+from lodestrata.llm.common import slices, stored
 
 # Fixed values of the public seekable format.
 SKIPPABLE = 0x184D2A50
@@ -40,8 +42,14 @@ FOOTER_TEXT = "±ê\u0092\u008f"  # its bytes, as Latin-1
 CHECKSUMS = 0x80
 
 FILE_BYTES = 32 << 20
+#: Text of a writing task; small tables are dealt to all cores.
+TASK_BYTES, LEAST_BYTES = 128 << 20, 4 << 20
 LEVEL = 3
-KEPT_RUNS, KEPT_WORDS = 300_000, 1_000_000
+#: Entries of one generation; there are two.
+KEPT_RUNS, KEPT_WORDS = 400_000, 500_000
+LONG_RUN = 64
+PART_BYTES = 1 << 20
+_BLANK = re.compile(rb"[ \t-\r]")
 _INDEX = struct.Struct("<4sBI")  # name, bytes of an id, documents
 _NAME = b"tok1"
 
@@ -49,6 +57,27 @@ _NAME = b"tok1"
 # --- encoding -------------------------------------------------------------------------
 
 
+class Kept:
+    """A bounded table in two generations: what is looked up again outlives what is not."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def older(self, key):
+        """The value that ``young`` lacks, from the generation before."""
+        found = self.old.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class WordEncoder:
     """Ids of whole texts, as the tokenizers library gives them.
 
@@ -81,13 +110,15 @@ class WordEncoder:
         if self.apart:
             self.pieces = regex.compile(split[0]["pattern"]["Regex"]).findall
             self.special = [t["content"][0] for t in spec["added_tokens"]]
+            self.model = self.whole.model
+            # Signs that end a run and never join the letters before them.
+            self.ends = bytes(b for b in b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~" if chr(b) not in self.special)
         # Bytes as characters of a byte-level vocabulary: printable Latin-1 signs stand
         # for themselves, the others follow from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.signs = {b: 256 + i for i, b in enumerate(rest)}
-        self.runs: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.runs, self.words = Kept(KEPT_RUNS), Kept(KEPT_WORDS)
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
@@ -95,16 +126,30 @@ class WordEncoder:
             return b""
         if not self.apart:
             return self._library(text)
-        kept = self.runs
+        data = text.encode("utf-8", "surrogatepass")
+        if len(data) <= PART_BYTES:
+            return self._part(data)
+        # A very long text in parts that end at white space.
+        out, at = [], 0
+        while at < len(data):
+            blank = _BLANK.search(data, at + PART_BYTES)
+            stop = blank.start() if blank else len(data)
+            out.append(self._part(data[at:stop]))
+            at = stop
+        return b"".join(out)
+
+    def _part(self, data: bytes) -> bytes:
+        get = self.runs.young.get
         out = []
-        for run in text.encode("utf-8", "surrogatepass").split():
-            found = kept.get(run)
+        for run in data.split():
+            found = get(run)
             if found is None:
-                found = self._run(run)
-                if len(kept) >= KEPT_RUNS:
-                    kept.clear()
-                if len(run) <= 64:
-                    kept[run] = found
+                found = self.runs.older(run)
+                if found is None:
+                    found = self._run(run)
+                    if len(run) <= LONG_RUN:
+                        self.runs.put(run, found)
+                get = self.runs.young.get
             out.append(found)
         return b"".join(out)
 
@@ -113,27 +158,32 @@ class WordEncoder:
         return np.array(ids, "<u4").tobytes()
 
     def _run(self, run: bytes) -> bytes:
+        word = run.rstrip(self.ends)
+        if word.isalpha() and len(word) <= LONG_RUN:  # ASCII letters
+            found = self._word(word.lower())
+            return found + self._word(run[len(word) :]) if len(word) < len(run) else found
         text = run.decode("utf-8", "surrogatepass")
         # Letters up to U+024F have one lower case and are composed already.
         if (
-            len(text) > 64
+            len(text) > LONG_RUN
             or max(text) >= "ɐ"
             or any(c in text for c in self.special)
             or not text.isprintable()
             or "İ" in text
         ):
             return self._library(text)
-        out = []
-        for piece in self.pieces(text.lower()):
-            found = self.words.get(piece)
+        return b"".join([self._word(piece.encode()) for piece in self.pieces(text.lower())])
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of one piece of the splitter."""
+        found = self.words.young.get(word)
+        if found is None:
+            found = self.words.older(word)
             if found is None:
-                mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
-                found = np.array([t.id for t in self.whole.model.tokenize(mapped)], "<u4").tobytes()
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                self.words[piece] = found
-            out.append(found)
-        return b"".join(out)
+                mapped = word.decode() if word.isascii() else word.decode("latin-1").translate(self.signs)
+                found = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+                self.words.put(word, found)
+        return found
 
 
 _LOADED: dict[str, WordEncoder] = {}
@@ -256,8 +306,11 @@ def write(
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), own.alias("text"), F.xxhash64(own).alias("tie")
     )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-size // TASK_BYTES), min(4 * cores, size // LEAST_BYTES))
     # The hash spreads an id that many rows have.
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+    ordered = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer() if callable(tokenizer) else tokenizer)
@@ -295,19 +348,6 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     source = files.select("path", "content")
 
-    def totals(batches):
-        for batch in batches:
-            found = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                f = TokenFile(io.BytesIO(content))
-                first = int(f.doc_ids[0]) if f.known[0] else None
-                found.append((path, first, int(f.counts.sum(dtype=np.int64))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*found), (pa.string(), pa.int64(), pa.int64()))]
-                if found else [pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64())],
-                ["path", "first", "total"],
-            )
-
     def documents(batches):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -325,14 +365,19 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ["path", "doc_id", "before", "n_tokens", "ids_crc32"],
                 )
 
-    # One row a file; names tell apart files that begin with the same id.
-    order = Window.orderBy(F.col("first").asc_nulls_first(), "path")
-    starts = source.mapInArrow(totals, "path string, first bigint, total bigint").select(
-        "path", (F.sum("total").over(order) - F.col("total")).alias("offset")
+    # The files are read once; what is left of them are a few numbers for each document.
+    rows = stored(
+        source.mapInArrow(
+            documents, "path string, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
+        ),
+        "token-rows",
     )
-    rows = source.mapInArrow(
-        documents, "path string, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint"
+    # One row a file; names tell apart files that begin with the same id, where null ids come first.
+    files = rows.groupBy("path").agg(
+        F.sum("n_tokens").alias("total"), F.min("doc_id").alias("least"), F.min(F.col("doc_id").isNotNull()).alias("known")
     )
+    order = Window.orderBy("known", "least", "path")
+    starts = files.select("path", (F.sum("total").over(order) - F.col("total")).alias("offset"))
     return rows.join(starts, "path").select(
         "doc_id", (F.col("offset") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
