@@ -68,4 +68,47 @@ SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS componen
 FROM words w LEFT JOIN sizes z ON z.doc_id = w.doc_id JOIN reach r ON r.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op7_jaccard_join": OP7}
+#: Rounds written one after the other; distance and number are compared together.
+_ROUND = """
+a{r} AS MATERIALIZED (
+    SELECT row, min({{'d': d, 'n': num}}) AS best
+    FROM (SELECT row, num, list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+          FROM vectors x, c{r} c)
+    GROUP BY row
+)"""
+_MOVE = """
+c{s} AS MATERIALIZED (
+    SELECT num, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+        SELECT num, list(CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END ORDER BY i) AS v
+        FROM (SELECT best.n AS num, i, sum(v[i])::BIGINT AS s, count(*) AS n
+              FROM a{r} JOIN vectors USING (row), range(1, 65) t(i) GROUP BY 1, 2)
+        GROUP BY num
+    ) m USING (num)
+)"""
+_ROUNDS = 5
+OP12 = (
+    """
+WITH kept AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), vectors AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+           row_number() OVER (ORDER BY vec_id) AS row
+    FROM kept
+), c0 AS MATERIALIZED (
+    SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS num
+    FROM vectors WHERE vec_id IS NOT NULL ORDER BY num LIMIT 40
+),"""
+    + ",".join(_ROUND.format(r=r) + "," + _MOVE.format(r=r, s=r + 1) for r in range(_ROUNDS))
+    + ","
+    + _ROUND.format(r=_ROUNDS)
+    + f"""
+SELECT vec_id, CAST(best.n AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.n) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{_ROUNDS} JOIN vectors USING (row) JOIN c{_ROUNDS} c ON c.num = best.n
+"""
+)
+
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2, "op7_jaccard_join": OP7, "op12_clusters": OP12}

@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import attribution, decontaminate, jaccard, language, neighbours, pagetext, pieces, resample, tokenfiles, toxicity
+from lodestrata.llm import (
+    alignment,
+    attribution,
+    clusters,
+    decontaminate,
+    jaccard,
+    language,
+    neighbours,
+    packing,
+    pagetext,
+    pieces,
+    resample,
+    tokenfiles,
+    toxicity,
+)
 from lodestrata.llm.common import scratch, table
 
 END_ID = 2
+PACKED_END_ID = 1
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +49,12 @@ def byte_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -81,6 +102,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return alignment.agreement(docs, byte_tokenizer, public_tokenizers.PATTERN, piece_model)
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer, PACKED_END_ID)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,5 +130,8 @@ QUERIES: dict[str, Query] = {
         op8_page_text,
         op9_pieces,
         op10_language_id,
+        op11_token_alignment,
+        op12_clusters,
+        op13_packing,
     )
 }
