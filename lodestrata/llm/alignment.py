@@ -14,20 +14,22 @@ all pairs fit one small array on every machine, and no link is shuffled.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import json
+from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from lodestrata.llm.common import list_array, map_texts, stored
 
 SPACE = "▁"
+SLICE_BYTES = 1 << 19
 Path = str | Callable[[], str]
 
 
@@ -111,15 +113,19 @@ def possible_links(a: dict[int, bytes], b: dict[int, bytes]) -> tuple[np.ndarray
         return out
 
     of_a, of_b = by_bytes(a), by_bytes(b)
-    pairs = []
+    first, second = array("i"), array("i")
     for t, own in of_a.items():
         for at in range(len(t)):
-            pairs += [(x, y) for y in of_b.get(t[at:], ()) for x in own]
+            for y in of_b.get(t[at:], ()):
+                first.extend(own)
+                second.extend([y] * len(own))
     for t, own in of_b.items():
         for at in range(1, len(t)):
-            pairs += [(x, y) for x in of_a.get(t[at:], ()) for y in own]
-    found = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
-    return found[:, 0], found[:, 1]
+            for x in of_a.get(t[at:], ()):
+                first.extend([x] * len(own))
+                second.extend(own)
+    keys = np.unique(np.array(first, np.int64) << 32 | np.array(second, np.int64))
+    return keys >> 32, keys & 0xFFFFFFFF
 
 
 class Tokenizers:
@@ -147,9 +153,11 @@ class Tokenizers:
         kept = ([], [])
         for t, a, b in zip(full, self.a.encode(full), self.b.encode(full)):
             data = (" " + t).encode()
-            same = bool(t) and all(
-                b"".join(map(own.__getitem__, ids.tolist())) == data
-                for own, ids in ((self.a.bytes, a), (self.b.bytes, b))
+            # The first kind's tokens are parts of the text itself, so their length tells.
+            same = (
+                bool(t)
+                and int(self.lengths[0][a].sum()) == len(data)
+                and b"".join(map(self.b.bytes.__getitem__, b.tolist())) == data
             )
             kept[0].append(a if same else none)
             kept[1].append(b if same else none)
@@ -254,6 +262,38 @@ def overlaps(ends: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarra
 _INTS = pa.list_(pa.int32())
 
 
+@dataclass
+class Aligned:
+    """Tokens and groups of the documents of a slice, one after the other."""
+
+    a: np.ndarray  # ids
+    n_a: np.ndarray  # tokens of each document
+    b: np.ndarray
+    n_b: np.ndarray
+    groups: np.ndarray  # of each document
+    stops_a: np.ndarray  # of each group, the number of its document's tokens up to its end
+    stops_b: np.ndarray
+
+    def last(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the tokens that end each group."""
+        return tuple(
+            ids[np.repeat(_starts(n), self.groups) + stops - 1]
+            for ids, n, stops in ((self.a, self.n_a, self.stops_a), (self.b, self.n_b, self.stops_b))
+        )
+
+
+def aligned(both: Tokenizers, texts: list[str | None]) -> Aligned:
+    ids = both.encode(texts)
+    n = [np.fromiter(map(len, i), np.int64, len(i)) for i in ids]
+    flat = [np.concatenate(i) for i in ids]
+    ends = [np.cumsum(lengths[f]) for lengths, f in zip(both.lengths, flat)]
+    a, b = common_ends(ends[0], n[0], ends[1], n[1])
+    starts = [_starts(c) for c in n]
+    groups = np.searchsorted(a, starts[0] + n[0]) - np.searchsorted(a, starts[0])
+    stops = [at + 1 - np.repeat(s, groups) for at, s in zip((a, b), starts)]
+    return Aligned(flat[0], n[0], flat[1], n[1], groups, *stops)
+
+
 def align(
     docs: DataFrame,
     byte_path: Path,
@@ -273,23 +313,14 @@ def align(
         both = tokenizers(byte_path, pattern, piece_path)
 
         def work(texts: list[str | None]) -> list:
-            ids = both.encode(texts)
-            n = [np.fromiter(map(len, i), np.int64, len(i)) for i in ids]
-            flat = [np.concatenate(i) for i in ids]
-            ends = [np.cumsum(lengths[f]) for lengths, f in zip(both.lengths, flat)]
-            a, b = common_ends(ends[0], n[0], ends[1], n[1])
-            starts = [_starts(c) for c in n]
-            groups = np.searchsorted(a, starts[0] + n[0]) - np.searchsorted(a, starts[0])
-            stops = [at + 1 - np.repeat(s, groups) for at, s in zip((a, b), starts)]
-            return [
-                *(list_array(f, c) for f, c in zip(flat, n)),
-                *(list_array(s.astype(np.int32), groups) for s in stops),
-            ]
+            f = aligned(both, texts)
+            lists = ((f.a, f.n_a), (f.b, f.n_b), (f.stops_a, f.groups), (f.stops_b, f.groups))
+            return [list_array(values.astype(np.int32), many) for values, many in lists]
 
         return work
 
-    schema = [(name, _INTS) for name in ("a_ids", "b_ids", "a_stops", "b_stops")]
-    return map_texts(source, "text", schema, make, ["doc_id"])
+    schema = [(name, pa.list_(pa.int32())) for name in ("a_ids", "b_ids", "a_stops", "b_stops")]
+    return map_texts(source, "text", schema, make, ["doc_id"], SLICE_BYTES)
 
 
 def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -297,51 +328,48 @@ def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.flatten()), np.diff(np.asarray(column.offsets))
 
 
-def group_texts(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, stops_a: np.ndarray, stops_b: np.ndarray, groups: np.ndarray, signs: dict[str, np.ndarray]) -> list[str]:
+def group_texts(f: Aligned, signs: dict[str, np.ndarray]) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` of each document.
 
     Every token is its id and the sign after it; tokens are put in the order of groups."""
-    total_a = np.repeat(_starts(n_a), groups) + stops_a  # stops in the flat lists
-    total_b = np.repeat(_starts(n_b), groups) + stops_b
+    total_a = np.repeat(_starts(f.n_a), f.groups) + f.stops_a  # stops in the flat lists
+    total_b = np.repeat(_starts(f.n_b), f.groups) + f.stops_b
     size_a, size_b = np.diff(total_a, prepend=0), np.diff(total_b, prepend=0)
-    out = np.empty(len(a) + len(b), object)
-    at_a = np.arange(len(a)) + np.repeat(_starts(size_b), size_a)
-    at_b = np.arange(len(b)) + np.repeat(np.cumsum(size_a), size_b)
-    out[at_a] = signs[","][a]
-    out[at_b] = signs[","][b]
-    out[at_a[total_a - 1]] = signs["|"][a[total_a - 1]]
-    out[at_b[total_b - 1]] = signs[";"][b[total_b - 1]]
-    stops = np.cumsum(n_a + n_b)
+    out = np.empty(len(f.a) + len(f.b), object)
+    at_a = np.arange(len(f.a)) + np.repeat(_starts(size_b), size_a)
+    at_b = np.arange(len(f.b)) + np.repeat(np.cumsum(size_a), size_b)
+    out[at_a] = signs[","][f.a]
+    out[at_b] = signs[","][f.b]
+    out[at_a[total_a - 1]] = signs["|"][f.a[total_a - 1]]
+    out[at_b[total_b - 1]] = signs[";"][f.b[total_b - 1]]
+    sizes = f.n_a + f.n_b
     parts = out.tolist()
-    return ["".join(parts[stop - size : stop])[:-1] for stop, size in zip(stops.tolist(), (n_a + n_b).tolist())]
+    return ["".join(parts[stop - size : stop])[:-1] for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist())]
 
 
-def linked(aligned: DataFrame, byte_path: Path, pattern: str, piece_path: Path) -> DataFrame:
+def linked(
+    docs: DataFrame, byte_path: Path, pattern: str, piece_path: Path, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, groups_sha256 and ``links``, the number of the pair of ids that
-    ends each group, from rows of ``align``."""
+    ends each group, of the documents as ``align`` has them."""
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         both = tokenizers(byte_path, pattern, piece_path)
         most = max(map(len, both.lengths))
         signs = {s: np.array([f"{i}{s}" for i in range(most)], object) for s in ",|;"}
-        for batch in batches:
-            a, n_a = _rows(batch.column(1))
-            b, n_b = _rows(batch.column(2))
-            stops_a, groups = _rows(batch.column(3))
-            stops_b, _ = _rows(batch.column(4))
-            texts = group_texts(a, n_a, b, n_b, stops_a, stops_b, groups, signs)
-            last_a = a[np.repeat(_starts(n_a), groups) + stops_a - 1]
-            last_b = b[np.repeat(_starts(n_b), groups) + stops_b - 1]
-            links = list_array(both.links(last_a, last_b).astype(np.int32), groups)
-            sha = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-            columns = [batch.column(0), *(pa.array(n.astype(np.int64)) for n in (n_a, n_b, groups)), pa.array(sha, pa.string()), links]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
-
-    kept = aligned.select("doc_id", "a_ids", "b_ids", "a_stops", "b_stops")
-    out = StructType([kept.schema["doc_id"]])
-    for name, kind in (("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("groups_sha256", "string")):
-        out = out.add(name, kind)
-    return kept.mapInArrow(run, out.add(StructField("links", ArrayType(IntegerType()))))
+
+        def work(texts: list[str | None]) -> list:
+            f = aligned(both, texts)
+            sha = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(f, signs)]
+            links = both.links(*f.last()).astype(np.int32)
+            return [*map(pa.array, (f.n_a, f.n_b, f.groups)), sha, list_array(links, f.groups)]
+
+        return work
+
+    schema = [(name, pa.int64()) for name in ("n_a", "n_b", "n_groups")]
+    schema += [("groups_sha256", pa.string()), ("links", pa.list_(pa.int32()))]
+    return map_texts(source, "text", schema, make, ["doc_id"], SLICE_BYTES)
 
 
 def link_counts(rows: DataFrame) -> DataFrame:
@@ -358,21 +386,18 @@ def agreement(docs: DataFrame, byte_path: Path, pattern: str, piece_path: Path,
     tokenizer changes, have zeros and the empty text; repeated rows count each; an empty
     table gives none."""
     spark = docs.sparkSession
-    rows = stored(linked(align(docs, byte_path, pattern, piece_path, doc_id, text), byte_path, pattern, piece_path), "links")
+    rows = stored(linked(docs, byte_path, pattern, piece_path, doc_id, text), "links")
+    # Both are bounded by the vocabularies, see above.
     counts = link_counts(rows).toArrow()
-    # Bounded by the vocabularies, see above.
-    shared = spark.sparkContext.broadcast(
-        (np.asarray(counts["link"], np.int32), np.asarray(counts["n"], np.int64))
-    )
+    _, b = possible_links(ByteTokenizer(_found(byte_path), pattern).bytes, PieceTokenizer(_found(piece_path)).bytes)
+    count = np.zeros(len(b), np.int64)
+    count[np.asarray(counts["link"])] = np.asarray(counts["n"])
+    highest = np.zeros(b.max() + 1, np.int64)
+    np.maximum.at(highest, b, count)
+    shared = spark.sparkContext.broadcast((count, count == highest[b]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(byte_path, pattern, piece_path)
-        link, n = shared.value
-        count = np.zeros(len(both.link_b), np.int64)
-        count[link] = n
-        highest = np.zeros(len(both.lengths[1]), np.int64)
-        np.maximum.at(highest, both.link_b, count)
-        best = count == highest[both.link_b]
+        count, best = shared.value
         for batch in batches:
             links, many = _rows(batch.column(5))
             bounds = np.concatenate([[0], np.cumsum(many)])

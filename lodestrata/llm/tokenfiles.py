@@ -46,7 +46,7 @@ FILE_BYTES = 32 << 20
 TASK_BYTES, LEAST_BYTES = 128 << 20, 4 << 20
 LEVEL = 3
 #: Entries of one generation; there are two.
-KEPT_RUNS, KEPT_WORDS = 400_000, 500_000
+KEPT_RUNS, KEPT_WORDS = 300_000, 300_000
 LONG_RUN = 64
 PART_BYTES = 1 << 20
 _BLANK = re.compile(rb"[ \t-\r]")
