@@ -25,7 +25,8 @@ from lodestrata.plans.trips import (
 )
 from lodestrata.plans.weather import clean_weather, observations_to_daily
 from lodestrata.session import shuffles_sized_for
-from lodestrata.sources.inventory import data_files, entries, folders, is_complete, remove
+from lodestrata.sources.commit import described, recover, replace_folder
+from lodestrata.sources.inventory import data_files, entries, folders, is_complete
 from lodestrata.sources.lake import (
     Lake,
     cause_of,
@@ -85,23 +86,29 @@ def land_weather(
     is there is skipped, unless it ends before ``through``: the file of a running year
     grows, and is then read again."""
     target = lake.path("bronze", *suites.WEATHER_SOURCE)
-    there = [f for f in folders(spark, target, year) if f.month is None]
-    path = there[0].path if there else f"{target}year={year}"
+    path = f"{target}year={year}"
     outcome = {
         "year": year, "month": None, "success": True, "skipped": False,
         "path": path, "rows": None, "error": None,
     }
-    if skip_existing and there and is_complete(spark, path) and _reaches(spark, path, through):
-        outcome["skipped"] = True
-        return outcome
-    size = sum(e.length for e in entries(spark, csv_path))
     try:
-        with shuffles_sized_for(spark, size):
+        recover(spark, target, path)
+        there = [f for f in folders(spark, target, year) if f.month is None]
+        path = outcome["path"] = there[0].path if there else path
+        if skip_existing and there and is_complete(spark, path) and _reaches(spark, path, through):
+            outcome["skipped"] = True
+            return outcome
+        files = entries(spark, csv_path)
+        with shuffles_sized_for(spark, sum(e.length for e in files)):
             daily = observations_to_daily(read_observations(spark, csv_path))
-            daily.hint("rebalance").write.mode("overwrite").parquet(path)
-        for other in there[1:]:
-            remove(spark, other.path)
-        outcome["rows"] = spark.read.parquet(path).count()
+            outcome["rows"] = replace_folder(
+                spark,
+                target,
+                path,
+                lambda staged: daily.hint("rebalance").write.parquet(staged),
+                described(files),
+                others=[f.path for f in there[1:]],
+            )
     except Exception as failure:
         outcome.update(success=False, error=cause_of(failure))
     return outcome

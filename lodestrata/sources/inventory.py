@@ -6,6 +6,8 @@ runs and no contents are read.  Only the directories of the wanted period are li
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatch
@@ -14,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILES_SCHEMA = "path string, length bigint, modificationTime timestamp, year int, month int"
-MARKER = "_SUCCESS"
+MARKER, TEMPORARY, MANIFEST = "_SUCCESS", "_temporary", "_manifest.json"
+#: Spark's name for a file of a partitioned write.
+_MOVED = re.compile(r"part-\d+-[0-9a-f-]{36}\.c\d{3}\.").match
 _FOOTER = int.from_bytes(b"PAR1", "big")
 
 
@@ -160,17 +164,48 @@ def partition_years(spark: SparkSession, path: str, pattern: str = "*.parquet")
     return spark.createDataFrame([(y,) for y in years], "year int")
 
 
+def manifest(spark: SparkSession, folder: str) -> dict | None:
+    """What landing wrote down about a directory: its files, rows and sources."""
+    system, where = _system(spark, f"{folder.rstrip('/')}/{MANIFEST}")
+    if not system.exists(where):
+        return None
+    stream = system.open(where)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def is_complete(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> bool:
     """Whether a directory's data may be taken as whole.
 
-    A Spark write ends with a marker file; without one it broke off.  A directory that
-    another tool filled with a single file carries none: such a file is whole if it is
-    the only one, is not named like a part of a Spark write, and ends like a Parquet file."""
-    names = entries(spark, folder)
+    Landing writes down the files of a directory: it is whole while they are there.  A Spark
+    write ends with a marker file, in the directory or, if it was partitioned, in the dataset.
+    One that replaces single partitions leaves no marker, but moves them there whole, and its
+    files have names of their own; other tools leave no marker either.  Such files are taken as
+    whole if all end like Parquet files.  What a Spark write into the directory itself left
+    without a marker broke off, and so did one whose temporary directory is there."""
+    names = {e.name for e in entries(spark, folder)}
     files = data_files(spark, folder, pattern)
-    if any(e.name == MARKER for e in names):
-        return bool(files)
-    return len(files) == 1 and not files[0].name.startswith("part-") and _ends_whole(spark, files[0])
+    if not files or TEMPORARY in names:
+        return False
+    if MANIFEST in names:
+        known = {(f["name"], f["length"]) for f in manifest(spark, folder)["files"]}
+        return known <= {(e.name, e.length) for e in files}
+    if MARKER in names or _marked_above(spark, folder):
+        return True
+    return all((not e.name.startswith("part-") or _MOVED(e.name)) and _ends_whole(spark, e) for e in files)
+
+
+def _marked_above(spark: SparkSession, folder: str) -> bool:
+    """Whether a directory that holds this one as a partition has the marker of a write."""
+    parent, _, name = folder.rstrip("/").rpartition("/")
+    while name.startswith(("year=", "month=")):
+        system, where = _system(spark, f"{parent}/{MARKER}")
+        if system.exists(where):
+            return True
+        parent, _, name = parent.rpartition("/")
+    return False
 
 
 def _ends_whole(spark: SparkSession, file: Entry) -> bool:

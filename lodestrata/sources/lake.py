@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestrata.operators.rules import in_period
+from lodestrata.sources.commit import changed, described, footer_rows, recover, replace_folder
 from lodestrata.sources.inventory import (
     Entry,
     Folder,
@@ -399,38 +400,56 @@ def land_periods(
     A file belongs to the month in its name, whatever its rows say.  All columns of all
     files of a month are kept; files of one month that give a column different types
     are refused.  A month is written to the directory it is already in, however that is
-    spelled, as about one file for ``file_bytes``, and is there once the write's marker
-    is, see ``is_complete``.  Returns one outcome per period: success, skipped, path,
-    rows, error.
+    spelled, as about one file for ``file_bytes``.  It is staged, its rows are held against
+    the footers of its sources, and only then does it take the place of what was
+    there, see ``commit``; a landing that fails leaves the old month.
+
+    A month that is there, see ``is_complete``, is skipped, unless it was landed from files that are others
+    now.  Returns one outcome per period: success, skipped, path, rows, error.
     """
     outcomes = []
     for year, month in periods:
-        there = folders(spark, target, year, month)
-        path = there[0].path if there else f"{target.rstrip('/')}/year={year}/month={month}"
+        path = f"{target.rstrip('/')}/year={year}/month={month}"
         outcome = {
             "year": year, "month": month, "success": True, "skipped": False,
             "path": path, "rows": None, "error": None,
         }
-        whole = next((f.path for f in there if is_complete(spark, f.path)), None)
-        if skip_existing and whole:
-            outcome.update(skipped=True, path=whole)
-        else:
-            try:
-                files = data_files(spark, landing, name_pattern.format(year=year, month=month))
+        try:
+            recover(spark, target, path)
+            there = folders(spark, target, year, month)
+            path = outcome["path"] = there[0].path if there else path
+            files = data_files(spark, landing, name_pattern.format(year=year, month=month))
+            whole = next((f.path for f in there if is_complete(spark, f.path)), None)
+            if skip_existing and whole and not changed(spark, whole, files):
+                outcome.update(skipped=True, path=whole)
+            else:
                 if not files:
                     raise FileNotFoundError(f"no files of {year}-{month:02d} in {landing}")
-                raw = read_raw(spark, [e.path for e in files])
-                count = max(1, math.ceil(sum(e.length for e in files) / file_bytes))
-                raw.coalesce(count).write.mode("overwrite").parquet(path)
-                for other in there[1:]:
-                    remove(spark, other.path)
-                outcome["rows"] = spark.read.parquet(path).count()  # from the footers
-            except Exception as failure:  # one month's failure leaves the others
-                outcome.update(success=False, error=cause_of(failure))
+                outcome["rows"] = _land(spark, target, path, files, [f.path for f in there[1:]], file_bytes)
+        except Exception as failure:  # one month's failure leaves the others
+            outcome.update(success=False, error=cause_of(failure))
         outcomes.append(outcome)
     return outcomes
 
 
+def _land(
+    spark: SparkSession, root: str, path: str, files: Sequence[Entry], others: Sequence[str], file_bytes: int
+) -> int:
+    """One month's files into its directory; returns the rows."""
+    raw = read_raw(spark, [e.path for e in files])
+    rows = footer_rows(spark, [e.path for e in files])
+    count = max(1, math.ceil(sum(e.length for e in files) / file_bytes))
+    return replace_folder(
+        spark,
+        root,
+        path,
+        lambda staged: raw.coalesce(count).write.parquet(staged),
+        described(files, rows),
+        sum(rows.values()),
+        others,
+    )
+
+
 def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Files of one month with all their columns, each read by its own schema."""
     groups = _file_schemas(spark, paths)

@@ -108,15 +108,16 @@ def test_a_month_without_its_marker_is_landed_again(spark, scratch):
     assert land(spark, scratch, [(2024, 1)])[0]["skipped"]
 
 
-def test_single_files_of_other_tools(spark, scratch):
-    """One whole file is a loaded month; two, or one cut off, are not."""
+def test_files_of_other_tools(spark, scratch):
+    """Whole files, one or several, are a loaded month; one of them cut off is not."""
     put(scratch + "/b/year=2024/month=1/yellow.parquet", {"id": [1]})
     put(scratch + "/b/year=2024/month=2/a.parquet", {"id": [1]})
     put(scratch + "/b/year=2024/month=2/b.parquet", {"id": [1]})
     put(scratch + "/b/year=2024/month=3/cut.parquet", {"id": [1]})
+    put(scratch + "/b/year=2024/month=3/whole.parquet", {"id": [1]})
     with open(scratch + "/b/year=2024/month=3/cut.parquet", "r+b") as f:
         f.truncate(100)
-    assert [tuple(r) for r in loaded_periods(spark, scratch + "/b").collect()] == [(2024, 1)]
+    assert values(loaded_periods(spark, scratch + "/b"), "year", "month") == [(2024, 1), (2024, 2)]
 
 
 # --- file counts ------------------------------------------------------------------------
