@@ -18,6 +18,27 @@ from pyspark.sql.types import StringType, StructType
 SLICE_BYTES = 1 << 20
 
 
+class Kept:
+    """A bounded table in two generations: what is looked up again outlives what is not."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def older(self, key):
+        """The value that ``young`` lacks, from the generation before."""
+        found = self.old.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -4,8 +4,9 @@ A sequence of pieces is the encoding of a text exactly when every two neighbours
 compatible: merging the characters of both together gives back the two.  So the text is
 covered from the left by the longest piece that is compatible with the one before;
 where none is, the last piece is taken back and a shorter one tried, and a bit for each
-position keeps it from being entered again after it failed.  The pieces that start at
-each position come from one Aho-Corasick run over the reversed text.
+position keeps it from being entered again after it failed.  The longest piece that starts at a
+position is the match of an Aho-Corasick automaton there, the next shorter ones follow from
+the piece alone.
 
 No piece has a blank mark inside or after other characters, so a text falls into units
 (blanks, then other characters) that are encoded apart.  Each distinct unit is encoded
@@ -23,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lodestrata.llm.common import list_array, map_texts
+from lodestrata.llm.common import Kept, list_array, map_texts
 
 SPACE = "▁"
-KEPT_UNITS = 150_000
-KEPT_PAIRS = 150_000
-LONG_UNIT = 200
+#: Entries of one generation of the tables of units and pairs; there are two.
+KEPT_UNITS = 300_000
+KEPT_PAIRS = 200_000
+LONG_UNIT = 64
 _NONE = float("-inf")
 _SIGNS = ".,;:!?)]}\"*%&#$|"
 
@@ -67,14 +69,26 @@ class PieceModel:
             raise ValueError("pieces with a blank mark inside are not supported")
         if any("\n" in p for p in self.ids):
             raise ValueError("pieces with line breaks are not supported")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs = Kept(KEPT_PAIRS)
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
+        self.whole: dict[str, bytes] = {}  # units that are one piece
+        for p, i in self.ids.items():
             # Pieces that merging never reaches do not occur in encodings.
             if len(p) > 1 and self.merged(p) == [p]:
-                self.automaton.add_word(p[::-1], len(p))
-        self.automaton.make_automaton()
-        self.units: dict[str, tuple[bytes, str]] = {}
+                self.automaton.add_word(p, i)
+                self.whole[p] = b"%d" % i
+        self.longest = max(map(len, self.whole), default=1)
+        # Of all that the automaton walks through, the longest piece it begins with, and
+        # of each piece the next shorter one; a single character at last.
+        self.within: dict[str, int] = {}
+        for p in self.whole:
+            size = 1
+            for n in range(1, len(p) + 1):
+                size = n if p[:n] in self.whole else size
+                self.within[p[:n]] = size
+        self.shorter = {p: p[: self.within[p[:-1]]] for p in self.whole}
+        self.decimal = {p: str(i) for p, i in self.ids.items()}
+        self.units = Kept(KEPT_UNITS)
         # A line break is a unit of its own, as it is in no piece; so is what follows a
         # word where no piece has that sign after a letter.
         joined = {b for p in self.ids for a, b in zip(p, p[1:]) if a.isalpha()}
@@ -107,70 +121,70 @@ class PieceModel:
         return parts
 
     def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+        key = left + "\n" + right  # no piece holds a line break
+        known = self.pairs.young.get(key)
         if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+            known = self.pairs.older(key)
+            if known is None:
+                known = self.merged(left + right) == [left, right]
+                self.pairs.put(key, known)
         return known
 
+    def match(self, text: str) -> str:
+        """The longest piece at the start of ``text``, else its first character."""
+        return text[: self.within.get(text[: self.automaton.longest_prefix(text)], 1)]
+
     def cover(self, text: str) -> list[str]:
         """The pieces of ``text``, characters outside the vocabulary as they are."""
-        n = len(text)
-        lengths: list[list[int]] = [[] for _ in range(n)]  # at each start, longest first
-        for end, length in self.automaton.iter(text[::-1]):
-            lengths[n - 1 - end].append(length)
+        n, longest = len(text), self.longest
         open_ = bytearray(b"\1") * (n + 1)
         taken: list[str] = []
-        rank: list[int] = []  # which of the lengths at its start each piece is
-        pairs = self.pairs.get
-        at, which, last = 0, 0, ""
+        match, shorter, compatible = self.match, self.shorter, self.compatible
+        at, last = 0, ""
         while at < n:
-            own = lengths[at]
-            for which in range(which, len(own) + 1):
-                # After all longer pieces comes the single character.
-                size = own[which] if which < len(own) else 1
-                if not open_[at + size]:
-                    continue
-                piece = text[at : at + size]
-                if not last:
-                    break
-                fits = pairs((last, piece))
-                if fits or (fits is None and self.compatible(last, piece)):
-                    break
-            else:
-                open_[at] = 0
-                at -= len(taken.pop())
-                which = rank.pop() + 1
-                last = taken[-1] if taken else ""
-                continue
+            piece = match(text[at : at + longest])
+            while not (open_[at + len(piece)] and (not last or compatible(last, piece))):
+                while len(piece) == 1:
+                    # Nothing shorter: the piece before is taken back.
+                    open_[at] = 0
+                    piece = taken.pop()
+                    at -= len(piece)
+                    last = taken[-1] if taken else ""
+                piece = shorter[piece]
             taken.append(piece)
-            rank.append(which)
             last = piece
-            at += size
-            which = 0
+            at += len(piece)
         return taken
 
-    def unit(self, unit: str) -> tuple[bytes, str]:
-        """Ids of a unit as decimal text, and the text that decoding them gives."""
-        found = self.units.get(unit)
+    def unit(self, unit: str) -> tuple[bytes, str | None]:
+        """Ids of a unit as decimal text; the text that decoding them gives, if it is another.
+        Only units that decode to themselves are kept."""
+        found = self.units.older(unit)
+        if found is not None:
+            return found, None
+        text = None
+        mapped = unit.replace(" ", SPACE)
+        found = self.whole.get(mapped)
         if found is None:
-            ids = self.encode_unit(unit)
-            found = (",".join(map(str, ids)).encode(), self.joined(ids))
-            if len(unit) <= LONG_UNIT:
-                if len(self.units) >= KEPT_UNITS:
-                    self.units.clear()
-                self.units[unit] = found
-        return found
-
-    def forget(self) -> None:
-        """Empty the tables of units and pairs."""
-        self.units.clear()
-        self.pairs.clear()
+            taken = self.cover(mapped)
+            try:
+                found = ",".join([self.decimal[p] for p in taken]).encode()
+            except KeyError:  # characters outside the vocabulary
+                ids = self.ids_of(taken)
+                found = ",".join(map(str, ids)).encode()
+                decoded = self.joined(ids)
+                if decoded != unit:
+                    text = decoded
+        if text is None and len(unit) <= LONG_UNIT:
+            self.units.put(unit, found)
+        return found, text
 
     def encode_unit(self, unit: str) -> list[int]:
+        return self.ids_of(self.cover(unit.replace(" ", SPACE)))
+
+    def ids_of(self, taken: list[str]) -> list[int]:
         ids: list[int] = []
-        for piece in self.cover(unit.replace(" ", SPACE)):
+        for piece in taken:
             known = self.ids.get(piece)
             if known is not None:
                 ids.append(known)
@@ -212,9 +226,19 @@ class PieceModel:
 
     def digest(self, text: str | None) -> tuple[bytes, str]:
         """Ids as decimal text, and the decoded text."""
-        found = [self.unit(u) for u in self.units_of(text or "")]
-        ids = b",".join([f[0] for f in found])
-        decoded = "".join([f[1] for f in found])
+        units = self.units_of(text or "")
+        get = self.units.young.get
+        found, other = [], {}
+        for u in units:
+            ids = get(u)
+            if ids is None:
+                ids, told = self.unit(u)
+                if told is not None:
+                    other[u] = told
+                get = self.units.young.get
+            found.append(ids)
+        ids = b",".join(found)
+        decoded = "".join([other.get(u, u) for u in units] if other else units)
         if self.dummy and decoded.startswith(" "):
             decoded = decoded[1:]
         return ids, decoded
@@ -248,7 +272,6 @@ def encode(
         def work(texts: list[str | None]) -> list:
             return [_numbers([m.digest(t)[0] for t in texts])]
 
-        work.close = m.forget
         return work
 
     return map_texts(docs, text, [("ids", pa.list_(pa.int32()))], make, keep)
@@ -294,7 +317,6 @@ def digests(
                     all_ids.append(ids)
             return [counts, ids_sha, text_sha, *([_numbers(all_ids)] if with_ids else [])]
 
-        work.close = m.forget
         return work
 
     schema = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]

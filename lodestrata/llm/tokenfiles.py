@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import slices, stored
+from lodestrata.llm.common import Kept, slices, stored
 
 # Fixed values of the public seekable format.
 SKIPPABLE = 0x184D2A50
@@ -57,27 +57,6 @@ _NAME = b"tok1"
 # --- encoding -------------------------------------------------------------------------
 
 
-class Kept:
-    """A bounded table in two generations: what is looked up again outlives what is not."""
-
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def older(self, key):
-        """The value that ``young`` lacks, from the generation before."""
-        found = self.old.get(key)
-        if found is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 class WordEncoder:
     """Ids of whole texts, as the tokenizers library gives them.
 
