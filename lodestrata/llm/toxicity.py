@@ -6,9 +6,9 @@ of its character n-grams, so unseen words are judged by their parts; vectors tha
 training has not touched are zero.  Two gated recurrent units read a window in either
 direction, attention pools their states, and the text has the score of its worst window.
 
-The network is trained in numpy on the driver, on at most ``max_positive`` and
-``max_negative`` labelled texts (those with the smallest hash of the id) and at most
-``MAX_WINDOWS`` windows of each.  A text's label holds for some window only: after a
+The network is trained in numpy in one task, on at most ``max_positive`` and
+``max_negative`` labelled texts (those with the smallest hash of the id), of each every
+window up to ``MAX_WINDOWS``, past a million words.  A text's label holds for some window only: after a
 first round over all windows, the highest windows of each text count, and toxic texts
 whose highest window scores below ``DOUBTFUL`` are taken as labelled by mistake.  Scoring takes
 every window of every text.
@@ -16,7 +16,9 @@ every window of every text.
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import fold, map_texts
+from lodestrata.llm.common import fold, map_texts, stored
 
 WINDOW, STRIDE = 32, 24
 BUCKETS = 1 << 16  # of words, and of character n-grams
 GRAMS = (3, 4, 5)
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 16, 12
-MAX_POSITIVE, MAX_NEGATIVE, MAX_WINDOWS = 600, 1500, 200
+MAX_POSITIVE, MAX_NEGATIVE, MAX_WINDOWS = 600, 1500, 1 << 16
 ROUNDS, BATCH = 3, 256
 DOUBTFUL = 0.2
 SCORED_AT_ONCE, WORDS_AT_ONCE = 2048, 8192
@@ -79,16 +81,9 @@ def parts_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def numbered(texts: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """Distinct words, and each text as their numbers from 1; of a run of one word, two
-    are left, as longer runs carry the recurrent states to where nothing was learned."""
+    """Distinct words, and each text as their numbers from 1."""
     seen: dict[str, int] = {}
-    ids = []
-    for t in texts:
-        own = np.array([seen.setdefault(w, len(seen) + 1) for w in t], np.int32)
-        if len(own) > 2:
-            same = np.flatnonzero((own[2:] == own[1:-1]) & (own[1:-1] == own[:-2])) + 2
-            own = np.delete(own, same)
-        ids.append(own)
+    ids = [np.array([seen.setdefault(w, len(seen) + 1) for w in t], np.int32) for t in texts]
     return list(seen), ids
 
 
@@ -364,28 +359,23 @@ def learn(
     texts = docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id"])
 
     def make():
-        longest = MAX_WINDOWS * WINDOW
-
-        def work(texts: list[str | None]) -> list:
-            out = []
-            for t in texts:
-                words = words_of(t)
-                if len(words) > longest:  # evenly spread runs of one window
-                    at = np.linspace(0, len(words) - WINDOW, MAX_WINDOWS).astype(int)
-                    words = [w for a in at for w in words[a : a + WINDOW]]
-                out.append(" ".join(words))
-            return [out]
-
-        return work
-
-    rows = map_texts(texts, "text", [("words", pa.string())], make, ["doc_id", "toxic"]).collect()
-    rows = sorted((r for r in rows if r["words"]), key=lambda r: r["doc_id"])
-    net = train([r["words"] for r in rows], [r["toxic"] for r in rows], **options)
+        return lambda texts: [[" ".join(words_of(t)) for t in texts]]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist() if r["words"]]
+        rows.sort(key=lambda r: r["doc_id"])
+        net = train([r["words"] for r in rows], [r["toxic"] for r in rows], **options)
+        taken = [sum(r["toxic"] == v for r in rows) for v in (0, 1)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)]), *(pa.array([n]) for n in taken)], ["net", "clean", "toxic"])
+
+    rows = stored(map_texts(texts, "text", [("words", pa.string())], make, ["doc_id", "toxic"]), "sample")
+    # One task has the sample, which is bounded, and what it takes goes with it.
+    made = rows.coalesce(1).mapInArrow(fit, "net binary, clean bigint, toxic bigint").first()
+    net = pickle.loads(bytes(made["net"]))
     # The sample has another share of toxic texts than the labels: correct the prior.
     all_of = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    taken = [sum(r["toxic"] == v for r in rows) for v in (0, 1)]
-    if min(taken) and len(all_of) == 2:
-        net.shift += float(np.log(all_of[1] / all_of[0]) - np.log(taken[1] / taken[0]))
+    if made["clean"] and made["toxic"] and len(all_of) == 2:
+        net.shift += float(np.log(all_of[1] / all_of[0]) - np.log(made["toxic"] / made["clean"]))
     return net
 
 

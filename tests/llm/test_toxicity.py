@@ -113,3 +113,38 @@ def test_gradients():
     down = loss()
     x[2, 3] = old
     assert abs((up - down) / 2e-3 - d_x[2, 3]) < 2e-2
+
+
+def test_network_step_by_step():
+    """Scores of windows against loops over single words, numbers and directions."""
+    rng = np.random.default_rng(3)
+    net = t.Network.fresh(2)
+    net.p = {k: rng.normal(0, 0.4, v.shape) for k, v in net.p.items()}
+    p, h = net.p, t.HIDDEN
+    x = rng.normal(size=(7, t.WORD_DIM + t.CHAR_DIM))
+    rows = rng.integers(1, 8, (4, t.WINDOW)).astype(np.int32)
+    rows[2, 5:] = 0
+    for row, got in zip(rows, net.forward(x, rows)):
+        words = [int(w) for w in row if w]
+        states = [[0.0] * 0 for _ in words]
+        for i, order in ((0, range(len(words))), (1, reversed(range(len(words))))):
+            state = [0.0] * h
+            for at in order:
+                v = x[words[at] - 1]
+                given = [sum(v[k] * p[f"X{i}"][k][j] for k in range(len(v))) + p[f"b{i}"][j] for j in range(3 * h)]
+
+                def dense(name, j):
+                    return sum(state[k] * p[name][k][j] for k in range(h))
+
+                z = [1 / (1 + np.exp(-(given[j] + dense(f"U{i}", j)))) for j in range(h)]
+                r = [1 / (1 + np.exp(-(given[h + j] + dense(f"U{i}", h + j)))) for j in range(h)]
+                n = [np.tanh(given[2 * h + j] + r[j] * dense(f"N{i}", j)) for j in range(h)]
+                state = [(1 - z[j]) * state[j] + z[j] * n[j] for j in range(h)]
+                states[at] = states[at] + state if i == 0 else states[at][:h] + state
+        told = []
+        for s in states:
+            mid = [np.tanh(sum(s[k] * p["A"][k][j] for k in range(2 * h))) for j in range(h)]
+            told.append(np.exp(sum(mid[j] * p["a"][j] for j in range(h))))
+        pooled = [sum(w * s[k] for w, s in zip(told, states)) / sum(told) for k in range(2 * h)]
+        want = sum(pooled[k] * p["o"][k] for k in range(2 * h)) + p["k"][0]
+        assert abs(want - got) < 1e-4
