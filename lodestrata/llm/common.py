@@ -16,6 +16,8 @@ from pyspark.sql.types import StringType, StructType
 
 #: Text handled at a time inside a task.
 SLICE_BYTES = 1 << 20
+#: Tables that ``stored`` wrote and nobody has removed.
+_MADE: list[str] = []
 
 
 class Kept:
@@ -44,14 +46,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session
-    names none, as in tests on one machine."""
+    """The folder that driver and executors share.  Where the session names none, a new one is
+    made if the session runs in one process, as in tests; a cluster must name it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             folder = known.get()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="lodestrata-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -66,10 +71,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: cuts the
     lineage, survives lost executors, and is computed once."""
     path = scratch(df.sparkSession, name)
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: Sequence[DataFrame] = ()) -> None:
+    """Remove the tables that ``stored`` wrote, but those of ``keep``.  For when the results that
+    read them have been written."""
+    kept = {f.rstrip("/").rpartition("/")[0] for df in keep for f in df.inputFiles()}
+    for path in list(_MADE):
+        if not any(k.endswith(path.split("://")[-1]) for k in kept):
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _MADE.remove(path)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the id as text, by ``modulus``; null ids belong to remainder 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus, F.lit(0))
@@ -101,9 +118,10 @@ def map_texts(
     ``make`` runs once in a task and returns the function for a slice of texts (null
     as None), which returns a list of values, or an Arrow array, for each new column.
     Its attribute ``close``, if it has one, is called when the task's rows are done.
-    Rows are neither dropped nor reordered.  New columns must not be named as kept ones.
+    Rows are neither dropped nor reordered.  A new column takes the place of a kept one of its name.
     """
-    keep = list(df.columns if keep is None else keep)
+    made_names = {name.lower() for name, _ in schema}
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made_names]
     columns = [F.col(f"`{c}`") for c in keep]
     at = keep.index(text) if text in keep and df.schema[text].dataType == StringType() else None
     if at is None:

@@ -8,13 +8,17 @@ texts of each language; one-versus-rest ridge regression on the landmark feature
 gives each language a value near 1 for its own texts and near -1 for others.
 Texts are scored in batches: presence bits times landmark bits, times coefficients.
 
-Learning takes at most ``per_lang`` labelled texts of each language, those with the
-smallest hash of the id; only their presence bits reach the driver.  Every text is
-scored, and whole.
+Every language is learned, from at most ``per_lang`` labelled texts of each, those with the
+smallest hash of the id.  Where there are many languages, each has fewer texts and landmarks, so
+that all together are about ``TEXTS`` and ``LANDMARKS``; below some number of either a language does not
+go.  One task solves the regression over the sample's packed presence bits, a batch at a
+time; the driver sees the kernel, packed as well.  Every text is scored, and whole.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import fold, map_texts
+from lodestrata.llm.common import fold, map_texts, stored
 
 BUCKETS = 1 << 15
 LENGTHS = (1, 2, 3)
-PER_LANG = 250
-LANDMARKS_PER_LANG = 32
-MAX_LANGS = 200
+PER_LANG, LEAST_PER_LANG, TEXTS = 250, 12, 16_384
+LANDMARKS_PER_LANG, LEAST_LANDMARKS, LANDMARKS = 32, 2, 1024
 RIDGE = 1.0
 UNKNOWN = "und"
 BATCH = 64
@@ -57,43 +60,77 @@ def mark(text: str, row: np.ndarray) -> None:
                 row[(mixed ^ (mixed >> np.uint32(15))) % np.uint32(BUCKETS)] = 1
 
 
+def shares(langs: int, per_lang: int = PER_LANG, landmarks_per_lang: int = LANDMARKS_PER_LANG) -> tuple[int, int]:
+    """Texts and landmarks of each of so many languages."""
+    langs = max(1, langs)
+    return (
+        min(per_lang, max(LEAST_PER_LANG, TEXTS // langs)),
+        min(landmarks_per_lang, max(LEAST_LANDMARKS, LANDMARKS // langs)),
+    )
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), BUCKETS // 8)
+    return np.unpackbits(packed, axis=1).astype(np.float32)
+
+
+def unit(bits: np.ndarray) -> np.ndarray:
+    return bits / np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1))
+
+
 @dataclass
 class Kernel:
     langs: list[str]
-    landmarks: np.ndarray  # BUCKETS x landmarks, each column over the root of its number of bits
+    marks: list[bytes]  # packed bits of the landmarks
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
 
+    def __post_init__(self):
+        self._columns = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_columns": None}
+
+    def inner(self, bits: np.ndarray) -> np.ndarray:
+        """Kernel of texts and landmarks."""
+        if self._columns is None:
+            self._columns = np.ascontiguousarray(unit(unpacked(self.marks)).T)
+        return bits @ self._columns / np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1))
+
     def values(self, bits: np.ndarray) -> np.ndarray:
-        sizes = np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1))
-        return (bits @ self.landmarks / sizes) @ self.weights + self.bias
+        return self.inner(bits) @ self.weights + self.bias
 
 
-def fit(bits: np.ndarray, langs: list[str], landmarks_per_lang: int, ridge: float) -> Kernel:
-    """``bits``: one row of presence bits for each text, in the order of preference."""
+def fit(packed: list[bytes], langs: list[str], landmarks_per_lang: int, ridge: float) -> Kernel:
+    """``packed``: the presence bits of each text, in the order of preference."""
     names = sorted(set(langs))
-    target = np.array([[1.0 if a == b else -1.0 for b in names] for a in langs])
+    number = {name: i for i, name in enumerate(names)}
+    target = np.full((len(langs), len(names)), -1.0)
+    target[np.arange(len(langs)), [number[a] for a in langs]] = 1.0
     chosen: list[int] = []
-    for name in names:
-        chosen += [i for i, a in enumerate(langs) if a == name][:landmarks_per_lang]
-    unit = bits / np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1))
-    marks = unit[chosen]
-    inner = (marks @ marks.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(inner)
+    taken = dict.fromkeys(names, 0)
+    for i, a in enumerate(langs):
+        if taken[a] < landmarks_per_lang:
+            taken[a] += 1
+            chosen.append(i)
+    chosen.sort(key=lambda i: (number[langs[i]], i))
+    kernel = Kernel(names, [packed[i] for i in chosen], np.zeros((0, 0)), np.zeros(0))
+    marks = unit(unpacked(kernel.marks))
+    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    features = (unit @ marks.T).astype(np.float64) @ root
+    features = np.empty((len(packed), root.shape[1]))
+    for at in range(0, len(packed), BATCH):
+        bits = unpacked(packed[at : at + BATCH])
+        features[at : at + BATCH] = (unit(bits) @ marks.T).astype(np.float64) @ root
     centre, mean = features.mean(0), target.mean(0)
-    features = features - centre
+    features -= centre
     solved = np.linalg.solve(
         features.T @ features + ridge * np.eye(features.shape[1]), features.T @ (target - mean)
     )
-    return Kernel(
-        names,
-        np.ascontiguousarray(marks.T, np.float32),
-        (root @ solved).astype(np.float32),
-        (mean - centre @ solved).astype(np.float32),
-    )
+    kernel.weights = (root @ solved).astype(np.float32)
+    kernel.bias = (mean - centre @ solved).astype(np.float32)
+    return kernel
 
 
 def learn(
@@ -104,12 +141,10 @@ def learn(
     lang: str = "lang",
     per_lang: int = PER_LANG,
     landmarks_per_lang: int = LANDMARKS_PER_LANG,
-    max_langs: int = MAX_LANGS,
     ridge: float = RIDGE,
 ) -> Kernel | None:
     """None if there is no text to learn from: ``train`` true, language and text not
-    null, a letter in the text.  Of more than ``max_langs`` languages, those with most
-    texts are learned.  At most per_lang * max_langs rows of BUCKETS bits are collected."""
+    null, a letter in the text."""
     rows = docs.where(train & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").rlike(r"\p{L}"))
     ids = rows.select(
         F.col(f"`{doc_id}`").alias("id"),
@@ -117,20 +152,19 @@ def learn(
         F.xxhash64(F.col(f"`{doc_id}`")).alias("order"),
         F.col(f"`{text}`").alias("text"),
     )
-    counts = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
-    langs = [r["lang"] for r in counts.collect()]
+    langs = ids.select("lang").distinct().count()
     if not langs:
         return None
+    per_lang, landmarks_per_lang = shares(langs, per_lang, landmarks_per_lang)
     first = Window.partitionBy("lang").orderBy("order", "id")
     picked = (
         ids.select("id", "lang", "order")
-        .where(F.col("lang").isin(langs))
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= per_lang)
         .select("id", "lang")
         .distinct()
     )
-    # At most per_lang * max_langs rows of an id and a language.
+    # At most per_lang rows of an id and a language for each language.
     sample = ids.join(F.broadcast(picked), ["id", "lang"]).dropDuplicates(["id"])
 
     def make():
@@ -144,10 +178,15 @@ def learn(
 
         return work
 
-    found = map_texts(sample, "text", [("bits", pa.binary())], make, ["lang", "order", "id"]).collect()
-    found.sort(key=lambda r: (r["order"], str(r["id"])))
-    bits = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in found], np.float32)
-    return fit(bits, [r["lang"] for r in found], landmarks_per_lang, ridge)
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for batch in batches for r in batch.to_pylist()]
+        found.sort(key=lambda r: (r["order"], str(r["id"])))
+        kernel = fit([r["bits"] for r in found], [r["lang"] for r in found], landmarks_per_lang, ridge) if found else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(kernel)])], ["kernel"])
+
+    marked = stored(map_texts(sample, "text", [("bits", pa.binary())], make, ["lang", "order", "id"]), "marked")
+    # One task has the sample, which is bounded by the languages.
+    return pickle.loads(bytes(marked.coalesce(1).mapInArrow(solve, "kernel binary").first()[0]))
 
 
 def classify(

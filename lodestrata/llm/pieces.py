@@ -278,7 +278,9 @@ def encode(
 
 
 def decode(rows: DataFrame, path: str | Callable[[], str], ids: str = "ids") -> DataFrame:
-    """``rows`` with ``decoded``, the text of each list of ids; null for a null list."""
+    """``rows`` with ``decoded``, the text of each list of ids; null for a null list.  A column of
+    that name is replaced."""
+    rows = rows.drop("decoded")
 
     def run(batches):
         m = model(path() if callable(path) else path)
