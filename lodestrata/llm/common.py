@@ -76,12 +76,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: Sequence[DataFrame] = ()) -> None:
-    """Remove the tables that ``stored`` wrote, but those of ``keep``.  For when the results that
-    read them have been written."""
+def made() -> list[str]:
+    """The tables that ``stored`` has written so far."""
+    return list(_MADE)
+
+
+def release(spark: SparkSession, before: Sequence[str] = (), keep: Sequence[DataFrame] = ()) -> None:
+    """Remove the tables that ``stored`` wrote, but those made ``before`` and those that the frames of
+    ``keep`` are.  For when the results that read them have been written."""
     kept = {f.rstrip("/").rpartition("/")[0] for df in keep for f in df.inputFiles()}
-    for path in list(_MADE):
-        if not any(k.endswith(path.split("://")[-1]) for k in kept):
+    for path in made():
+        if path not in before and not any(k.endswith(path.split("://")[-1]) for k in kept):
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
             _MADE.remove(path)

@@ -7,14 +7,16 @@ from lodestrata.llm import common as c
 
 
 def test_released_tables(spark, scratch):
+    earlier = c.stored(spark.range(3), "earlier")
+    before = c.made()
     one = c.stored(spark.range(5), "one")
     two = c.stored(spark.range(7), "two")
     folders = [f.removeprefix("file://").rpartition("/")[0] for df in (one, two) for f in df.inputFiles()[:1]]
-    c.release(spark, keep=[two])
+    c.release(spark, before, [two])
     assert [os.path.isdir(f) for f in folders] == [False, True]
     assert two.count() == 7
-    c.release(spark)
-    assert not os.path.isdir(folders[1])
+    c.release(spark, before)
+    assert not os.path.isdir(folders[1]) and earlier.count() == 3
 
 
 def test_new_columns_replace_kept_ones(spark):
