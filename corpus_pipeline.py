@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import decontaminate, jaccard, language, pieces, toxicity
-from lodestrata.llm.common import release, stored, table
+from lodestrata.llm.common import made, release, stored, table
 from lodestrata.llm.queries import piece_model
 
 #: Four stages are learned or searched by programs that SQL does not express.
@@ -53,8 +53,9 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
         # What the stage and those before it wrote on the way is not needed any more.
-        release(spark, keep=[docs])
+        release(spark, before, [docs])
     return docs
