@@ -1,14 +1,16 @@
 """Directories and files of a dataset, from the file system's listing.
 
-Partitions are known by their directory names and files by their status; no Spark task
-runs and no contents are read.  Only the directories of the wanted period are listed.
+Partitions are known by their directory names and files by their status; no contents are
+read.  Only the directories of the wanted period are listed.  Directories are found on the
+driver; the files in them are a Spark scan, whose listing is a job with a task for each
+directory once there are more than ``spark.sql.sources.parallelPartitionDiscovery.threshold``.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 from fnmatch import fnmatch
 
@@ -99,24 +101,55 @@ def folders(
     return found
 
 
+def _is_data(name: str, pattern: str) -> bool:
+    """Hidden files, such as markers, are not data."""
+    return not name.startswith(("_", ".")) and fnmatch(name, pattern)
+
+
 def data_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[Entry]:
-    """Files right in ``folder``; hidden ones, such as markers, are not data."""
-    return [
-        e for e in entries(spark, folder)
-        if not e.is_folder and not e.name.startswith(("_", ".")) and fnmatch(e.name, pattern)
-    ]
+    """Files right in ``folder``."""
+    return [e for e in entries(spark, folder) if not e.is_folder and _is_data(e.name, pattern)]
+
+
+def holds_data(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> bool:
+    """Whether a directory has data files; the listing ends at the first."""
+    system, where = _system(spark, folder)
+    found = system.listLocatedStatus(where)
+    while found.hasNext():
+        status = found.next()
+        if status.isFile() and _is_data(status.getPath().getName(), pattern):
+            return True
+    return False
 
 
-def _files(
-    spark: SparkSession, root: str, pattern: str, year: int | None, month: int | None
-) -> Iterator[tuple[Folder, list[Entry]]]:
-    places = folders(spark, root, year, month)
-    if year is None:
-        places = [Folder(root), *places]
-    for folder in places:
-        files = data_files(spark, folder.path, pattern)
-        if files:
-            yield folder, files
+_IN_PARTITION = r"(?i)/year=([^/]*)(?:/month=([^/]*))?/[^/]*$"
+
+
+def _scan(spark: SparkSession, places: Sequence[Folder], pattern: str, whole: bool = False) -> DataFrame:
+    """Files right in directories that hold no other partition directories, one row each;
+    ``whole``: in the one directory of a dataset without partitions.
+
+    The scan asks for no contents, so no file is opened.  Files are dealt to tasks by directories:
+    left alone, Spark deals them by their bytes, a task for every large file."""
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load([f.path for f in places])
+        .select("path", "length", "modificationTime")
+    )
+    if whole:
+        year = month = F.lit(None).cast("int")
+        system, where = _system(spark, places[0].path)
+        inside = F.regexp_replace("path", "/[^/]*$", "") == system.makeQualified(where).toString()
+    else:
+        year, month = (F.regexp_extract("path", _IN_PARTITION, i).try_cast("int") for i in (1, 2))
+        inside = F.col("path").rlike(_IN_PARTITION)
+    return (
+        found.filter(inside & F.col("path").rlike("/[^_./][^/]*$"))
+        .withColumns({"year": year, "month": month})
+        .coalesce(max(len(places), spark.sparkContext.defaultParallelism))
+    )
 
 
 def list_files(
@@ -126,12 +159,26 @@ def list_files(
     year: int | None = None,
     month: int | None = None,
 ) -> DataFrame:
-    """One row per file, of the period if one is given."""
-    rows = [
-        (e.path, e.length, e.modified, folder.year, folder.month)
-        for folder, files in _files(spark, path, pattern, year, month)
-        for e in files
-    ]
+    """One row per file, of the period if one is given: path, length, modificationTime, year, month."""
+    places = folders(spark, path, year, month)
+    above = {f.path.rstrip("/").rpartition("/")[0] for f in places}
+    last = [f for f in places if f.path not in above]
+    if last:
+        out = _scan(spark, last, pattern)
+        # Directories above others were listed to find those; their own files are few.
+        upper = [f for f in places if f.path in above] + [Folder(path)] * (year is None)
+        rows = [
+            (e.path, e.length, e.modified, f.year, f.month)
+            for f in upper for e in data_files(spark, f.path, pattern)
+        ]
+        return out.unionByName(_file_rows(spark, rows)) if rows else out
+    system, where = _system(spark, path)
+    if year is None and system.exists(where):
+        return _scan(spark, [Folder(path)], pattern, whole=True)
+    return _file_rows(spark, [])
+
+
+def _file_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     raw = spark.createDataFrame(rows, FILES_SCHEMA.replace("timestamp", "bigint"))
     return raw.withColumn("modificationTime", F.timestamp_millis("modificationTime"))
 
@@ -144,22 +191,18 @@ def file_inventory(
     month: int | None = None,
 ) -> DataFrame:
     """Per partition: file count, total bytes and newest modification."""
-    groups: dict[tuple, list[Entry]] = {}
-    for folder, files in _files(spark, path, pattern, year, month):
-        groups.setdefault((folder.year, folder.month), []).extend(files)
-    rows = [
-        (*period, len(files), sum(e.length for e in files), max(e.modified for e in files))
-        for period, files in groups.items()
-    ]
-    raw = spark.createDataFrame(rows, "year int, month int, files bigint, bytes bigint, newest bigint")
-    return raw.withColumn("newest", F.timestamp_millis("newest"))
+    return list_files(spark, path, pattern, year, month).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("newest"),
+    )
 
 
 def partition_years(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Years with data, one row each; a year's listing ends at its first file."""
     years: dict[int | None, bool] = {}
     for folder in folders(spark, path):
-        if not years.get(folder.year) and data_files(spark, folder.path, pattern):
+        if not years.get(folder.year) and holds_data(spark, folder.path, pattern):
             years[folder.year] = True
     return spark.createDataFrame([(y,) for y in years], "year int")
 
@@ -185,8 +228,9 @@ def is_complete(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
     files have names of their own; other tools leave no marker either.  Such files are taken as
     whole if all end like Parquet files.  What a Spark write into the directory itself left
     without a marker broke off, and so did one whose temporary directory is there."""
-    names = {e.name for e in entries(spark, folder)}
-    files = data_files(spark, folder, pattern)
+    found = entries(spark, folder)
+    names = {e.name for e in found}
+    files = [e for e in found if not e.is_folder and _is_data(e.name, pattern)]
     if not files or TEMPORARY in names:
         return False
     if MANIFEST in names:
