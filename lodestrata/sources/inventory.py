@@ -159,7 +159,9 @@ def list_files(
     year: int | None = None,
     month: int | None = None,
 ) -> DataFrame:
-    """One row per file, of the period if one is given: path, length, modificationTime, year, month."""
+    """One row per file, of the period if one is given: path, length, modificationTime, year, month.
+
+    A file without a byte holds no data, not even Parquet's footer, and is not listed."""
     places = folders(spark, path, year, month)
     above = {f.path.rstrip("/").rpartition("/")[0] for f in places}
     last = [f for f in places if f.path not in above]
@@ -169,7 +171,7 @@ def list_files(
         upper = [f for f in places if f.path in above] + [Folder(path)] * (year is None)
         rows = [
             (e.path, e.length, e.modified, f.year, f.month)
-            for f in upper for e in data_files(spark, f.path, pattern)
+            for f in upper for e in data_files(spark, f.path, pattern) if e.length
         ]
         return out.unionByName(_file_rows(spark, rows)) if rows else out
     system, where = _system(spark, path)

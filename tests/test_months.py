@@ -296,14 +296,17 @@ def test_files_are_listed_by_directories(spark, scratch):
                     f.write("x" * m)
     for extra in ("top.parquet", "year=2024/own.parquet", "other/z.parquet"):
         os.makedirs(os.path.dirname(f"{root}/{extra}"), exist_ok=True)
-        open(f"{root}/{extra}", "w").close()
+        with open(f"{root}/{extra}", "w") as f:
+            f.write("y")
+    for empty in ("none.parquet", "year=2024/none.parquet", "year=2024/month=01/none.parquet"):
+        open(f"{root}/{empty}", "w").close()
     few = spark.sparkContext.defaultParallelism
     got = []
     # a task for each of 36 directories to list, as many to read, and the driver's own rows
     assert tasks_of(spark, lambda: got.extend(list_files(spark, root).collect())) <= 2 * 36 + few
     want = [(f"file:{root}/year={y}/month={m:02d}/{n}.parquet", m, y, m)
             for y in (2022, 2023, 2024) for m in range(1, 13) for n in "ab"]
-    want += [(f"file:{root}/top.parquet", 0, None, None), (f"file:{root}/year=2024/own.parquet", 0, 2024, None)]
+    want += [(f"file:{root}/top.parquet", 1, None, None), (f"file:{root}/year=2024/own.parquet", 1, 2024, None)]
     assert sorted((r.path, r.length, r.year, r.month) for r in got) == sorted(want)
     one = next(r for r in got if r.path.endswith("/year=2024/month=03/a.parquet"))
     changed = os.path.getmtime(f"{root}/year=2024/month=03/a.parquet")
@@ -316,7 +319,7 @@ def test_files_are_listed_by_directories(spark, scratch):
     assert sorted((r.path[-9:], r.year) for r in alone) == [("a.parquet", None), ("b.parquet", None)]
     assert list_files(spark, root, year=1999).count() == list_files(spark, scratch + "/none").count() == 0
     totals = {(r.year, r.month): (r.files, r.bytes) for r in file_inventory(spark, root).collect()}
-    assert totals[2023, 12] == (2, 24) and totals[None, None] == (1, 0) and len(totals) == 38
+    assert totals[2023, 12] == (2, 24) and totals[None, None] == (1, 1) and len(totals) == 38
 
 
 # --- the job ------------------------------------------------------------------------------
