@@ -4,6 +4,10 @@ A check names the aggregates it needs (its facts, each over one of the tables it
 is given) and how to judge them.  ``run_checks`` collects the facts of all checks
 over a table into one aggregation, so a suite reads each table once, and returns
 one row per check.
+
+Of tables that are Parquet files, named by ``pruned``, facts that count unwanted rows
+are taken from a scan for those rows alone: Spark skips the row groups and pages whose
+statistics rule them out, and a plain row count needs no more than the footers.
 """
 
 from __future__ import annotations
@@ -11,6 +15,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +48,16 @@ NO_ROWS = "no rows in the period"
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
+class Fact(NamedTuple):
+    table: str
+    aggregate: Column
+    where: Column | None = None  # set if the aggregate counts the rows where this holds
+
+
 @dataclass(frozen=True)
 class Check:
     name: str
-    facts: Mapping[str, tuple[str, Column]]  # fact name -> (table, aggregate)
+    facts: Mapping[str, Fact]
     passed: Column  # over the fact names
     message: Column
     metric: Column = field(default_factory=lambda: F.lit(None))
@@ -69,18 +82,21 @@ def run_checks(
     table_name: str,
     year: int,
     month: int | None,
+    pruned: Sequence[str] = (),
 ) -> DataFrame:
     """Check rows, in the order of ``checks``.  ``tables`` are already restricted
-    to the rows each fact is about."""
-    per_table: dict[str, dict[str, Column]] = {}
+    to the rows each fact is about; ``pruned`` names those that are Parquet files, whose
+    statistics then spare reading them."""
+    per_table: dict[str, dict[str, Fact]] = {}
     for check in checks:
-        for name, (table, aggregate) in check.facts.items():
-            known = per_table.setdefault(table, {}).setdefault(name, aggregate)
-            if str(known) != str(aggregate):
+        for name, given in check.facts.items():
+            fact = Fact(*given)
+            known = per_table.setdefault(fact.table, {}).setdefault(name, fact)
+            if str(known.aggregate) != str(fact.aggregate):
                 raise ValueError(f"two checks mean different things by {name}")
     measured = [
-        tables[table].agg(*(a.alias(name) for name, a in facts.items()))
-        for table, facts in per_table.items()
+        part for table, facts in per_table.items()
+        for part in _measured(tables[table], facts, table in pruned)
     ]
     facts = measured[0]
     if len(measured) > 1:
@@ -98,8 +114,31 @@ def run_checks(
     )
 
 
-def _rows(table: str) -> dict[str, tuple[str, Column]]:
-    return {f"{table}_rows": (table, F.count(F.lit(1)))}
+def _measured(df: DataFrame, facts: Mapping[str, Fact], pruned: bool) -> list[DataFrame]:
+    """The facts of one table as one row; if it is pruned, as up to three: the row count,
+    counts of unwanted rows, and whatever has to see every row."""
+    def plain(name: str) -> bool:
+        return name == f"{facts[name].table}_rows"
+
+    groups = [list(facts)]
+    if pruned:
+        unwanted = [n for n in facts if facts[n].where is not None]
+        rest = [n for n in facts if facts[n].where is None and not plain(n)]
+        groups = [[n for n in facts if plain(n)], unwanted, rest]
+    out = []
+    for names in filter(None, groups):
+        conditions = [facts[n].where for n in names]
+        rows = df.filter(reduce(or_, conditions)) if pruned and conditions[0] is not None else df
+        out.append(rows.agg(*(facts[n].aggregate.alias(n) for n in names)))
+    return out
+
+
+def _rows(table: str) -> dict[str, Fact]:
+    return {f"{table}_rows": Fact(table, F.count(F.lit(1)))}
+
+
+def _rows_where(table: str, condition: Column) -> Fact:
+    return Fact(table, F.count_if(condition), condition)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -133,7 +172,7 @@ def row_count_trend(
     months = trend_months(year, month)
     names = [f"{table}_{y}_{m}" for y, m in months]
     facts = {
-        name: (table, F.coalesce(F.sum(F.when(_is(y, m), F.col("n"))), F.lit(0)))
+        name: Fact(table, F.coalesce(F.sum(F.when(_is(y, m), F.col("n"))), F.lit(0)))
         for name, (y, m) in zip(names, months)
     }
     *before, current = (F.col(name) for name in names)
@@ -191,7 +230,7 @@ def null_rates(
 ) -> Check:
     n = F.col(f"{table}_rows")
     facts = _rows(table) | {
-        f"{table}_null_{c}": (table, F.count_if(F.col(c).isNull())) for c in columns
+        f"{table}_null_{c}": _rows_where(table, F.col(c).isNull()) for c in columns
     }
     shares = {c: _share(F.col(f"{table}_null_{c}"), n) for c in columns}
     within, named = _worst(shares, max_fraction)
@@ -238,7 +277,7 @@ def value_ranges(
     n = F.col(f"{table}_rows")
     columns = [r.column for r in ranges]
     facts = _rows(table) | {
-        f"{table}_off_{r.fact}": (table, F.count_if(r.violated())) for r in ranges
+        f"{table}_off_{r.fact}": _rows_where(table, r.violated()) for r in ranges
     }
     shares = {
         r.column if columns.count(r.column) == 1 else str(r): _share(F.col(f"{table}_off_{r.fact}"), n)
@@ -258,10 +297,11 @@ def value_ranges(
 def dates_in_partition(date_col: str, year: int, month: int, table: str = "rows") -> Check:
     day = F.col(date_col)
     stray = F.col(f"{table}_stray_dates")
-    outside = (F.year(day) != year) | (F.month(day) != month)
+    first, after = period_bounds(year, month)
+    outside = (day < F.lit(first)) | (day >= F.lit(after))  # a range that a scan can use
     return Check(
         "dates_in_partition",
-        {f"{table}_stray_dates": (table, F.count_if(outside))},
+        {f"{table}_stray_dates": _rows_where(table, outside)},
         stray == 0,
         F.format_string(f"%,d rows dated outside {_label(year, month)}", stray),
         stray,
@@ -281,8 +321,8 @@ def calendar_completeness(date_col: str, year: int, month: int, table: str = "ro
     return Check(
         "calendar_completeness",
         {
-            f"{table}_days": (table, F.count_distinct(day)),
-            f"{table}_day_set": (table, F.collect_set(F.when(in_month, day))),
+            f"{table}_days": Fact(table, F.count_distinct(day)),
+            f"{table}_day_set": Fact(table, F.collect_set(F.when(in_month, day))),
         },
         present == days,
         F.when(present == days, f"all {days} days present").otherwise(
@@ -303,7 +343,7 @@ def stat_bounds(
     value = F.col(f"{table}_{metric_name}")
     return Check(
         "stat_bounds",
-        {f"{table}_{metric_name}": (table, F.expr(metric_sql).cast("double"))},
+        {f"{table}_{metric_name}": Fact(table, F.expr(metric_sql).cast("double"))},
         value.between(low, high),
         F.when(value.isNull(), NO_ROWS).otherwise(
             F.format_string(f"{metric_name}=%.2f, {low} to {high} expected", value)
@@ -343,7 +383,7 @@ def gold_reconciliation(
     total, rows = F.col(f"{gold}_trips"), F.col(f"{silver}_rows")
     return Check(
         "gold_reconciliation",
-        _rows(silver) | {f"{gold}_trips": (gold, F.sum(trips_col))},
+        _rows(silver) | {f"{gold}_trips": Fact(gold, F.sum(trips_col))},
         total == rows,
         F.when(total.isNull(), NO_ROWS).otherwise(
             F.format_string("%,d trips in the features, %,d cleaned rows", total, rows)
@@ -366,15 +406,15 @@ def files_exist(table: str = "files") -> Check:
     )
 
 
-def _file_count(table: str) -> dict[str, tuple[str, Column]]:
-    return {f"{table}_count": (table, F.coalesce(F.sum("files"), F.lit(0)))}
+def _file_count(table: str) -> dict[str, Fact]:
+    return {f"{table}_count": Fact(table, F.coalesce(F.sum("files"), F.lit(0)))}
 
 
 def total_bytes(min_bytes: int = MIN_BYTES, table: str = "files") -> Check:
     size = F.col(f"{table}_bytes")
     return Check(
         "s3_file_size",
-        {f"{table}_bytes": (table, F.sum("bytes"))},
+        {f"{table}_bytes": Fact(table, F.sum("bytes"))},
         size >= min_bytes,
         F.when(size.isNull(), "no files found").otherwise(
             F.format_string(f"%,d bytes, at least {min_bytes:,} wanted", size)
@@ -396,7 +436,7 @@ def file_count(
     facts = _file_count(table)
     most = F.lit(max_files)
     if bytes_per_file is not None:
-        facts |= {f"{table}_bytes": (table, F.sum("bytes"))}
+        facts |= {f"{table}_bytes": Fact(table, F.sum("bytes"))}
         size = F.coalesce(F.col(f"{table}_bytes"), F.lit(0))
         most = F.greatest(F.lit(max_files).cast("bigint"), F.ceil(size / F.lit(bytes_per_file)))
     return Check(
@@ -416,7 +456,7 @@ def freshness(
     hours = (F.unix_micros(now) - F.unix_micros(newest)) / 3.6e9
     return Check(
         "s3_freshness",
-        {f"{table}_newest": (table, F.max("newest"))},
+        {f"{table}_newest": Fact(table, F.max("newest"))},
         hours <= max_age_hours,
         F.when(newest.isNull(), "no files found").otherwise(
             F.format_string(f"newest file is %.1f hours old, at most {max_age_hours} wanted", hours)
@@ -435,7 +475,7 @@ def unexpected_partitions(expected_years: Sequence[int], table: str = "partition
     return Check(
         "no_unexpected_partitions",
         {
-            f"{table}_stray_years": (
+            f"{table}_stray_years": Fact(
                 table,
                 F.collect_set(F.when(~year.isin(*expected), year)),
             )

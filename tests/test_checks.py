@@ -1,7 +1,9 @@
 """Quality checks on tables that pass and tables that do not."""
 
 import datetime as dt
+import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +238,74 @@ def test_a_suite_reads_its_table_once(spark):
     assert plan.count("Range (0, 10") == 1
 
 
+def rows_read(spark, action):
+    """Rows that each stage of an action takes from files."""
+    group = f"cost-{os.urandom(4).hex()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tracker, store = spark.sparkContext.statusTracker(), spark._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return sorted(n for n in (store.lastStageAttempt(s).inputRecords() for s in stages) if n)
+
+
+def pruning_checks():
+    ranges = [c.Range("fare", 0, 1000, low_inclusive=False), c.Range("zone", 1, 265), c.Range("zone", 1, 300)]
+    return [
+        c.row_count_floor(1), c.null_rates(["fare", "zone", "d"]), c.value_ranges(ranges),
+        c.dates_in_partition("d", 2024, 12), c.stat_bounds("avg(zone)", 0, 300),
+    ]
+
+
+@pytest.mark.parametrize(
+    "fare, zone, day",
+    [
+        ("1.0D + id % 900", "1 + id % 265", "date'2024-12-05'"),  # nothing amiss
+        ("if(id < 900, null, if(id < 2000, -1.0D, 5.0D))", "if(id > 98000, 400, 7)", "date'2024-12-01'"),
+        ("if(id % 3 = 0, double('NaN'), 2.0D)", "if(id % 7 = 0, 0, 280)", "if(id % 5 = 0, date'2025-01-01', null)"),
+        ("cast(null as double)", "cast(null as int)", "cast(null as date)"),
+    ],
+)
+def test_pruned_facts_are_those_of_the_scan(spark, scratch, fare, zone, day):
+    path = scratch + "/t"
+    numbers(spark, 100_000, fare=fare, zone=zone, d=day).coalesce(2).write.option("parquet.block.size", 65536).parquet(path)
+    df = spark.read.parquet(path)
+    plain, pruned = (
+        c.run_checks({"rows": df}, pruning_checks(), "silver", "t", 2024, 12, pruned=p).collect() for p in ((), ("rows",))
+    )
+    assert plain == pruned
+    nothing = {"rows": df.filter("zone > 100000")}
+    assert (
+        c.run_checks(nothing, pruning_checks(), "silver", "t", 2024, 12).collect()
+        == c.run_checks(nothing, pruning_checks(), "silver", "t", 2024, 12, pruned=("rows",)).collect()
+    )
+
+
+def test_pruned_facts_read_only_groups_with_unwanted_rows(spark, scratch):
+    path = scratch + "/t"
+    rows = numbers(spark, 400_000, fare="1.0D + rand(1) * 900", zone="if(id < 100, 400, cast(1 + rand(2) * 264 as int))",
+                   d="date'2024-12-05'").coalesce(1)
+    rows.write.option("parquet.block.size", 262144).parquet(path)
+    groups = [pq.ParquetFile(f"{path}/{f}").num_row_groups for f in os.listdir(path) if f.endswith(".parquet")]
+    assert sum(groups) > 4
+    checks = pruning_checks()[:4]
+
+    def judged(pruned):
+        got = []
+        out = c.run_checks({"rows": spark.read.parquet(path)}, checks, "silver", "t", 2024, 12, pruned=pruned)
+        return got, rows_read(spark, lambda: got.extend(out.collect())), out._jdf.queryExecution().toString()
+
+    whole, all_rows, _ = judged(())
+    few, (some, counted), plan = judged(("rows",))
+    assert whole == few
+    assert all_rows == [400_000]
+    # The plain count takes rows without any column; the other scan one row group of many.
+    assert counted == 400_000 and "ReadSchema: struct<>" in plan
+    assert 100 <= some < 400_000 / 4
+
+
 def test_conflicting_facts_are_refused(spark):
     with pytest.raises(ValueError):
         c.run_checks(
