@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lodestrata.operators.rules import in_period
 from lodestrata.sources.commit import changed, described, footer_rows, recover, replace_folder
@@ -30,6 +30,8 @@ PERIOD = ("year", "month")
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 #: Table properties with the fingerprint of a registered partition's files.
 _MARK = "lodestrata.files."
+#: Properties of a view with the table that holds a directory.
+_HOME = "lodestrata.home."
 
 
 @dataclass(frozen=True)
@@ -84,32 +86,84 @@ def read_partition(
 
 def read_folders(spark: SparkSession, root: str, found: Sequence[Folder]) -> DataFrame:
     """Partition directories of a dataset as one frame with ``year`` and ``month``."""
-    parts = [(f, _folder_schemas(spark, f.path)) for f in found]
-    schemas = [schema for _, groups in parts for schema, _ in groups]
+    groups = schema_groups(spark, found)
+    schemas = [g.schema for g in groups]
     whole = merged(schemas, widen=True)
     if not any(drifts(schema, whole) for schema in schemas):
         reader = spark.read.schema(whole).option("basePath", root)
         return reader.parquet(*(f.path for f in found))
     keys = ["year"] + ["month"] * any(f.month is not None for f in found)
     out = None
-    for folder, groups in parts:
-        for schema, paths in groups:
-            part = as_schema(spark.read.schema(schema).parquet(*paths), whole).select(
-                "*", *(F.lit(getattr(folder, k)).cast("int").alias(k) for k in keys)
-            )
+    for group in groups:
+        # A file takes its period from its directory, directories from their names.
+        months = [[f for f in group.folders if f.month is not None], [f for f in group.folders if f.month is None]]
+        for alike in filter(None, months):
+            reader = spark.read.schema(group.schema)
+            if group.files:
+                part = reader.parquet(*group.files).withColumns({k: F.lit(getattr(alike[0], k)) for k in keys})
+            else:
+                part = reader.option("basePath", root).parquet(*(f.path for f in alike))
+            part = as_schema(part, StructType([*whole, *(StructField(k, IntegerType()) for k in keys)]))
             out = part if out is None else out.unionByName(part)
     return out
 
 
-def _folder_schemas(spark: SparkSession, path: str) -> list[tuple[StructType, list[str]]]:
-    """Schemas of a directory's files with the paths that have each; usually one."""
+@dataclass(frozen=True)
+class SchemaGroup:
+    """Directories whose files agree in types.  A directory whose own files do not agree makes several
+    groups, each with its ``files``."""
+
+    schema: StructType
+    folders: Sequence[Folder]
+    files: Sequence[str] = ()
+
+
+def schema_groups(spark: SparkSession, found: Sequence[Folder]) -> list[SchemaGroup]:
+    """Directories by schema.  One job reads the footers of all; only where types drift are the
+    directories halved until those of each part agree, which takes a few jobs for a drift, as months next
+    to each other mostly agree.  Parts that agree are put together again."""
+
+    def split(part: Sequence[Folder]) -> list[SchemaGroup]:
+        schema = _merged_footers(spark, [f.path for f in part])
+        if schema is not None:
+            return [SchemaGroup(schema, part)]
+        if len(part) > 1:
+            half = len(part) // 2
+            return split(part[:half]) + split(part[half:])
+        files = [e.path for e in data_files(spark, part[0].path)]
+        return [SchemaGroup(schema, part, paths) for schema, paths in _file_schemas(spark, files)]
+
+    def order(folder: Folder) -> tuple:
+        return tuple(-1 if v is None else v for v in (folder.year, folder.month))
+
+    out: list[SchemaGroup] = []
+    for group in split(sorted(found, key=order)) if found else []:
+        for i, known in enumerate(out):
+            whole = None if group.files or known.files else _agreed(known.schema, group.schema)
+            if whole is not None:
+                out[i] = SchemaGroup(whole, [*known.folders, *group.folders])
+                break
+        else:
+            out.append(group)
+    return out
+
+
+def _agreed(a: StructType, b: StructType) -> StructType | None:
+    try:
+        return merged([a, b])
+    except SchemaConflict:
+        return None
+
+
+def _merged_footers(spark: SparkSession, paths: Sequence[str]) -> StructType | None:
+    """The schema of all files of directories, from one job; None if they do not agree."""
     reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
     try:
-        return [(reader.parquet(path).schema, [path])]
+        return merged([reader.parquet(*paths).schema])
     except Exception as failure:
         if "CANNOT_MERGE" not in str(failure) and "Failed to merge" not in str(failure):
             raise
-    return _file_schemas(spark, [e.path for e in data_files(spark, path)])
+    return None
 
 
 def _file_schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
@@ -315,45 +369,38 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
     and never drop any.
 
     It is a table as long as every column has one type in all partitions.  Where a type
-    drifts between months, files of either type cannot be read as one table: it becomes a view that
-    reads each month by its own schema and widens the columns.  Of a table only partitions
-    are opened that it does not know yet, or whose files are others than when they were opened."""
+    drifts between months, files of either type cannot be read as one table: it becomes a view over
+    a table for each set of types, ``<table>__types<n>``, that widens the columns, and shows the directories
+    that are there.  Only directories are opened that are not known yet, or whose files are others
+    than when they were opened; one job reads the footers of all of them, see ``schema_groups``."""
     listed = [(f, data_files(spark, f.path)) for f in folders(spark, path)]
     found = [f for f, files in listed if files] or [Folder(path)]
     marks = {_MARK + f.spelled: _fingerprint(files) for f, files in listed if files}
     exists = spark.catalog.tableExists(table)
-    is_view = exists and spark.catalog.getTable(table).tableType == "VIEW"
-    if exists and not is_view:
+    if exists and spark.catalog.getTable(table).tableType == "VIEW":
+        _as_view(spark, table, path, found, marks)
+        return
+    if exists:
         partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
         known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} if partitioned else set()
-        seen = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        seen = _properties(spark, table)
         marks = {k: v for k, v in marks.items() if seen.get(k) != v}
         fresh = [f for f in found if f.spelled not in known or _MARK + f.spelled in marks]
         columns = StructType([f for f in spark.table(table).schema if f.name not in PERIOD or not partitioned])
     else:
         fresh, columns = found, StructType([])
-    groups = [(f, g) for f in fresh for g in _folder_schemas(spark, f.path)]
-    whole = merged([columns, *(schema for _, (schema, _) in groups)], widen=True)
-    if is_view or drifts(columns, whole) or any(drifts(s, whole) for _, (s, _) in groups):
-        if exists and not is_view:
+    groups = schema_groups(spark, fresh)
+    whole = merged([columns, *(g.schema for g in groups)], widen=True)
+    if drifts(columns, whole) or any(drifts(g.schema, whole) for g in groups):
+        if exists:
             spark.sql(f"DROP TABLE {table}")  # external: the files stay
-            groups = [(f, g) for f in found for g in _folder_schemas(spark, f.path)]
-            whole = merged([schema for _, (schema, _) in groups], widen=True)
-        _as_view(spark, table, whole, groups)
+        marks = {_MARK + f.spelled: _fingerprint(files) for f, files in listed if files}
+        _as_view(spark, table, path, found, marks)
         return
     if not exists:
-        keys = [k for k in PERIOD if any(getattr(f, k) is not None for f in found)]
-        types = ", ".join(
-            [f"`{f.name}` {f.dataType.simpleString()}" for f in whole] + [f"{k} int" for k in keys]
-        )
-        dealt = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
-        spark.sql(f"CREATE TABLE {table} ({types}) USING parquet {dealt} LOCATION '{path}'")
+        _external_table(spark, table, path, whole, [k for k in PERIOD if any(getattr(f, k) is not None for f in found)])
     else:
-        have = {f.name.lower() for f in columns}
-        new = [f for f in whole if f.name.lower() not in have]
-        if new:
-            types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({types})")
+        _add_columns(spark, table, columns, whole)
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.sql(f"MSCK REPAIR TABLE {table}")
     if marks:
@@ -362,25 +409,121 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _external_table(spark: SparkSession, table: str, path: str, columns: StructType, keys: Sequence[str]) -> None:
+    types = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in columns] + [f"{k} int" for k in keys])
+    dealt = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
+    spark.sql(f"CREATE TABLE {table} ({types}) USING parquet {dealt} LOCATION '{path}'")
+
+
+def _add_columns(spark: SparkSession, table: str, columns: StructType, whole: StructType) -> None:
+    have = {f.name.lower() for f in columns}
+    new = [f for f in whole if f.name.lower() not in have]
+    if new:
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({types})")
+
+
 def _fingerprint(files: Sequence[Entry]) -> str:
     """Changes with the names, lengths or modification times of files."""
     return hashlib.sha256(repr([(e.name, e.length, e.modified) for e in files]).encode()).hexdigest()[:32]
 
 
-def _as_view(spark: SparkSession, table: str, whole: StructType, groups: list) -> None:
-    keys = [k for k in PERIOD if any(getattr(f, k) is not None for f, _ in groups)]
-    parts = []
-    for folder, (schema, paths) in groups:
-        have = {f.name.lower() for f in schema}
-        columns = [
-            f"CAST({f'`{f.name}`' if f.name.lower() in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
-            for f in whole
-        ]
-        for k in keys:
-            value = getattr(folder, k)
-            columns.append(f"CAST({'NULL' if value is None else value} AS int) AS {k}")
-        parts += [f"SELECT {', '.join(columns)} FROM parquet.`{p}`" for p in paths]
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS {' UNION ALL '.join(parts)}")
+def _as_view(
+    spark: SparkSession, table: str, path: str, found: Sequence[Folder], marks: Mapping[str, str]
+) -> None:
+    """A view over a table for each set of types.  Which directory is in which is kept in the view's properties,
+    so directories that have not changed are not opened again."""
+    seen = _properties(spark, table) if spark.catalog.tableExists(table) else {}
+    home = {f.spelled: seen.get(_HOME + f.spelled) for f in found if seen.get(_MARK + f.spelled) == marks.get(_MARK + f.spelled)}
+    fresh = [f for f in found if not home.get(f.spelled)]
+    branches = {name: _own_columns(spark, name) for name in sorted({v for k, v in seen.items() if k.startswith(_HOME)})}
+    # What has changed or gone leaves its table.
+    for key, name in seen.items():
+        if key.startswith(_HOME) and not home.get(key.removeprefix(_HOME)) and branches[name][1]:
+            _drop_partition(spark, name, key.removeprefix(_HOME))
+    loose: list[tuple[StructType, Folder, str]] = []
+    taken = {(n, _period(f)) for f in found if (n := home.get(f.spelled))}
+    for group in schema_groups(spark, fresh):
+        if group.files:
+            loose += [(group.schema, group.folders[0], p) for p in group.files]
+            continue
+        for folder in group.folders:
+            name = next(
+                (
+                    n for n, (columns, keys) in branches.items()
+                    if keys == _keys(folder) and (n, _period(folder)) not in taken and _agreed(columns, group.schema)
+                ),
+                None,
+            )
+            if name is None:
+                number = 1 + max((int(n.rpartition("__types")[2]) for n in branches), default=0)
+                name = f"{table}__types{number}"
+                if spark.catalog.tableExists(name):
+                    spark.sql(f"DROP TABLE {name}")  # of an earlier view; the files stay
+                _external_table(spark, name, path if _keys(folder) else folder.path, group.schema, _keys(folder))
+                branches[name] = (group.schema, _keys(folder))
+            columns, keys = branches[name]
+            both = _agreed(columns, group.schema)
+            if len(both) > len(columns):
+                _add_columns(spark, name, columns, both)
+                branches[name] = (both, keys)
+            if keys:
+                spec = ", ".join(f"{k} = {getattr(folder, k)}" for k in keys)
+                # A call that broke off may have left it.
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+                spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION '{folder.path}'")
+            home[folder.spelled] = name
+            taken.add((name, _period(folder)))
+    used = {n: c for n, c in branches.items() if n in home.values()}
+    whole = merged([*(columns for columns, _ in used.values()), *(schema for schema, _, _ in loose)], widen=True)
+    for name in used:
+        spark.catalog.refreshTable(name)
+    shown = [k for k in PERIOD if any(getattr(f, k) is not None for f in found)]
+    parts = [
+        _widening(name, columns, whole, {k: k if k in keys else "NULL" for k in shown})
+        for name, (columns, keys) in used.items()
+    ]
+    for schema, folder, file in loose:
+        period = {k: "NULL" if getattr(folder, k) is None else str(getattr(folder, k)) for k in shown}
+        parts.append(_widening(f"parquet.`{file}`", schema, whole, period))
+    kept = {**marks, **{_HOME + k: v for k, v in home.items()}}
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in kept.items() if v)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({pairs}) AS {' UNION ALL '.join(parts)}")
+
+
+def _keys(folder: Folder) -> list[str]:
+    return [k for k in PERIOD if getattr(folder, k) is not None]
+
+
+def _period(folder: Folder) -> tuple:
+    return folder.year, folder.month
+
+
+def _own_columns(spark: SparkSession, table: str) -> tuple[StructType, list[str]]:
+    """Columns without the partition columns, and those."""
+    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return StructType([f for f in spark.table(table).schema if f.name not in keys]), keys
+
+
+def _drop_partition(spark: SparkSession, table: str, spelled: str) -> None:
+    """Take a directory out of a table; the files stay."""
+    parts = [p.partition("=") for p in spelled.split("/")]
+    spec = ", ".join(f"{k} = {int(v)}" for k, _, v in parts if v.lstrip("-").isdigit())
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _widening(source: str, schema: StructType, whole: StructType, period: Mapping[str, str]) -> str:
+    have = {f.name.lower() for f in schema}
+    columns = [
+        f"CAST({f'`{f.name}`' if f.name.lower() in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in whole
+    ]
+    columns += [f"CAST({value} AS int) AS {k}" for k, value in period.items()]
+    return f"SELECT {', '.join(columns)} FROM {source}"
 
 
 # --- landing --------------------------------------------------------------------

@@ -25,6 +25,7 @@ from lodestrata.sources.lake import (
     overwrite_partitions,
     read_partition,
     register_external,
+    schema_groups,
 )
 from lodestrata.sources.schemas import merged
 from tests.test_lake import SMALL, frame, fresh_name, lake_of, landing, stored  # noqa: F401
@@ -243,6 +244,68 @@ def test_a_month_that_is_landed_again(spark, scratch):
     assert values(spark.table(t), "id", "n", "extra") == [(1, 1.5, "x"), (2, 2.0, None)]
 
 
+def jobs_of(spark, action):
+    group = fresh_name()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_twenty_years_with_three_drifts(spark, scratch, monkeypatch):
+    root, want = scratch + "/r", []
+    for i in range(240):
+        n = i if i < 50 else i + 0.5 if i < 120 else str(i) if i < 200 else i  # int, double, text, int again
+        put(f"{root}/year={2000 + i // 12}/month={i % 12 + 1}/a.parquet", {"id": [i], "n": [n], **({"x": [i]} if i > 220 else {})})
+        want.append((i, str(n), i if i > 220 else None, 2000 + i // 12, i % 12 + 1))
+    t = fresh_name()
+    jobs = jobs_of(spark, lambda: register_external(spark, t, root))
+    assert jobs < 120
+    assert values(spark.table(t), "id", "n", "x", "year", "month") == sorted(want, key=str)
+    plan = spark.table(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 3 and spark.table(t).filter("year = 2010 AND month = 3").first().id == 122
+    names = {r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(t + "__types")}
+    assert len(names) == 3
+    opened = []
+    from lodestrata.sources import lake as module
+    whole = module.schema_groups
+    monkeypatch.setattr(module, "schema_groups", lambda s, found: (opened.append([f.spelled for f in found]), whole(s, found))[1])
+    register_external(spark, t, root)
+    put(f"{root}/year=2020/month=1/a.parquet", {"id": [240], "n": ["z"]})
+    put(f"{root}/year=2000/month=2/a.parquet", {"id": [1], "n": ["one"]})  # now text
+    shutil.move(f"{root}/year=2000/month=3", scratch + "/gone")
+    register_external(spark, t, root)
+    assert opened == [[], ["year=2000/month=2", "year=2020/month=1"]]
+    got = {r[0]: r[1] for r in values(spark.table(t), "id", "n")}
+    assert (got[1], got[240], got[0]) == ("one", "z", "0") and 2 not in got and len(got) == 240
+    # Two directories of one month that agree in types.
+    put(f"{root}/year=2020/month=01/a.parquet", {"id": [241], "n": ["y"]})
+    register_external(spark, t, root)
+    assert values(spark.table(t).filter("year = 2020"), "id") == [(240,), (241,)]
+
+
+def test_footers_of_all_months_in_one_job(spark, scratch):
+    for m in range(1, 13):
+        put(f"{scratch}/r/year=2024/month={m}/a.parquet", {"id": [m], f"x{m}": [m]})
+    groups = []
+    found = folders(spark, scratch + "/r")[1:]
+    assert jobs_of(spark, lambda: groups.extend(schema_groups(spark, found))) <= 2
+    assert [len(g.schema) for g in groups] == [13]
+
+
+def test_files_of_one_month_that_disagree(spark, scratch):
+    put(scratch + "/r/year=2024/month=1/a.parquet", {"id": [1], "n": [1]})
+    put(scratch + "/r/year=2024/month=1/b.parquet", {"id": [2], "n": ["b"]})
+    put(scratch + "/r/year=2024/month=2/a.parquet", {"id": [3], "n": ["c"]})
+    t = fresh_name()
+    for _ in range(2):
+        register_external(spark, t, scratch + "/r")
+        assert values(spark.table(t), "id", "n", "month") == [(1, "1", 1), (2, "b", 1), (3, "c", 2)]
+    assert values(read_partition(spark, scratch + "/r", 2024), "id", "n", "month") == [(1, "1", 1), (2, "b", 1), (3, "c", 2)]
+
+
 def test_merged_schemas(spark):
     a, b = (spark.createDataFrame([], s).schema for s in ("a int, b date, c string", "A bigint, b timestamp, c double, d int"))
     whole = merged([a, b], widen=True)
