@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from calendar import monthrange
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -25,15 +25,17 @@ from lodestrata.plans.trips import (
 )
 from lodestrata.plans.weather import clean_weather, observations_to_daily
 from lodestrata.session import shuffles_sized_for
-from lodestrata.sources.commit import described, recover, replace_folder
+from lodestrata.sources.commit import described, discard, recover, replace_folder
 from lodestrata.sources.inventory import data_files, entries, folders, is_complete
 from lodestrata.sources.lake import (
     Lake,
+    StagedPeriod,
     cause_of,
     land_periods,
-    overwrite_partitions,
+    publish_period,
     read_observations,
     read_partition,
+    stage_period,
 )
 
 
@@ -121,23 +123,25 @@ def _reaches(spark: SparkSession, path: str, through: date | None) -> bool:
     return last is not None and last >= through
 
 
-def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> CleaningReport:
-    """Clean and write one month of trips in one pass over the raw rows."""
+def stage_silver_trips(
+    spark: SparkSession, lake: Lake, year: int, month: int
+) -> tuple[StagedPeriod, CleaningReport]:
+    """Clean and write one month of trips in one pass over the raw rows, ready to be published."""
     raw, size = _raw_month(spark, lake, year, month)
     conformed = conform(raw, TRIPS)
     counts = Observation()
     observed = observe_cleaning(conformed, counts, TRIP_RULES, "pickup_datetime", year, month)
     with shuffles_sized_for(spark, size):
-        written = overwrite_partitions(
+        period = stage_period(
             clean_conformed(observed, year, month, _survivor(conformed)),
             lake.table("silver", suites.TRIP_TABLE),
             lake.path("silver", *suites.TRIP_SOURCE),
-            scope={"year": year, "month": month},
+            {"year": year, "month": month},
         )
-    seen = counts.get
+    seen, written = counts.get, period.rows
     # The row count of Parquet files comes from their footers.
     if seen.get("rows_in") == raw.count():
-        return CleaningReport(
+        return period, CleaningReport(
             rows_in=seen["rows_in"],
             invalid=seen["rows_in"] - seen["valid"],
             out_of_period=seen["valid"] - seen["in_period"],
@@ -145,7 +149,14 @@ def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> Clea
             rows_out=written,
         )
     # A stage ran twice and counted twice: count again.
-    return exact_report(conformed, year, month)
+    return period, exact_report(conformed, year, month)
+
+
+def silver_trips(spark: SparkSession, lake: Lake, year: int, month: int) -> CleaningReport:
+    """One month of cleaned trips, published without checks."""
+    period, report = stage_silver_trips(spark, lake, year, month)
+    publish_period(spark, period)
+    return report
 
 
 def exact_report(conformed: DataFrame, year: int, month: int) -> CleaningReport:
@@ -171,17 +182,22 @@ def _survivor(conformed: DataFrame) -> list:
     ]
 
 
-def silver_weather(spark: SparkSession, lake: Lake, year: int) -> int:
+def stage_silver_weather(spark: SparkSession, lake: Lake, year: int) -> StagedPeriod:
     raw = read_partition(spark, lake.path("bronze", *suites.WEATHER_SOURCE), year)
-    return overwrite_partitions(
+    return stage_period(
         clean_weather(raw.drop("year"), year),
         lake.table("silver", suites.WEATHER_TABLE),
         lake.path("silver", *suites.WEATHER_SOURCE),
-        scope={"year": year},
+        {"year": year},
     )
 
 
-def gold_features(spark: SparkSession, lake: Lake, year: int, month: int) -> dict[str, int]:
+def silver_weather(spark: SparkSession, lake: Lake, year: int) -> int:
+    """A year of cleaned weather, published without checks."""
+    return publish_period(spark, stage_silver_weather(spark, lake, year))
+
+
+def stage_gold_features(spark: SparkSession, lake: Lake, year: int, month: int) -> list[StagedPeriod]:
     trips = spark.table(lake.table("silver", suites.TRIP_TABLE))
     weather = spark.table(lake.table("silver", suites.WEATHER_TABLE))
     frames = {
@@ -190,16 +206,32 @@ def gold_features(spark: SparkSession, lake: Lake, year: int, month: int) -> dic
     }
     root = lake.path("silver", *suites.TRIP_SOURCE)
     size = sum(e.length for f in folders(spark, root, year, month) for e in data_files(spark, f.path))
-    with shuffles_sized_for(spark, size):
-        return {
-            name: overwrite_partitions(
-                frame,
-                lake.table("gold", name),
-                lake.path("gold", suites.FEATURE_SOURCE, name),
-                scope={"year": year, "month": month},
-            )
-            for name, frame in frames.items()
-        }
+    periods: list[StagedPeriod] = []
+    try:
+        with shuffles_sized_for(spark, size):
+            for name, frame in frames.items():
+                path = lake.path("gold", suites.FEATURE_SOURCE, name)
+                periods.append(
+                    stage_period(frame, lake.table("gold", name), path, {"year": year, "month": month})
+                )
+    except Exception:
+        _discard(spark, periods)
+        raise
+    return periods
+
+
+def gold_features(spark: SparkSession, lake: Lake, year: int, month: int) -> dict[str, int]:
+    """A month of both feature tables, published without checks."""
+    return _publish(spark, stage_gold_features(spark, lake, year, month))
+
+
+def _publish(spark: SparkSession, periods: Sequence[StagedPeriod]) -> dict[str, int]:
+    return {p.table.rpartition(".")[2]: publish_period(spark, p) for p in periods}
+
+
+def _discard(spark: SparkSession, periods: Sequence[StagedPeriod]) -> None:
+    for p in periods:
+        discard(spark, p.staged)
 
 
 # --- the run ----------------------------------------------------------------------
@@ -216,12 +248,13 @@ def run_month(
     skip_existing: bool = True,
     history_table: str | None = None,
 ) -> MonthOutcome:
-    """Raises ``QualityError`` at the first suite that fails.  Check rows, also of
-    the failed suite, are appended to ``history_table``."""
+    """Raises ``QualityError`` at the first suite that fails; the tables it is about are then as they
+    were.  Check rows, also of the failed suite, are appended to ``history_table``."""
     outcome = MonthOutcome(year, month)
 
-    def check(name: str, suite: Callable[..., list[Row]]) -> None:
-        results = suite(spark, lake, year, month, limits)
+    def check(name: str, suite: Callable[..., list[Row]], staged: Sequence[StagedPeriod] | None = None) -> None:
+        about = () if staged is None else (staged,)
+        results = suite(spark, lake, year, month, limits, *about)
         outcome.checks[name] = results
         if history_table:
             rows = spark.createDataFrame(results, CHECK_SCHEMA)
@@ -250,12 +283,24 @@ def run_month(
     check("bronze_trips", suites.bronze_trip_suite)
     check("bronze_weather", suites.bronze_weather_suite)
 
-    outcome.cleaning = silver_trips(spark, lake, year, month)
-    outcome.rows[suites.TRIP_TABLE] = outcome.cleaning.rows_out
-    outcome.rows[suites.WEATHER_TABLE] = silver_weather(spark, lake, year)
-    check("silver_trips", suites.silver_trip_suite)
-    check("silver_weather", suites.silver_weather_suite)
-
-    outcome.rows.update(gold_features(spark, lake, year, month))
-    check("gold", suites.gold_suite)
+    # Each layer is checked before it is published: a month that fails keeps its old rows.
+    trips, cleaning = stage_silver_trips(spark, lake, year, month)
+    staged = [trips]
+    try:
+        staged.append(stage_silver_weather(spark, lake, year))
+        outcome.cleaning = cleaning
+        check("silver_trips", suites.silver_trip_suite, staged)
+        check("silver_weather", suites.silver_weather_suite, staged)
+    except Exception:
+        _discard(spark, staged)
+        raise
+    outcome.rows.update(_publish(spark, staged))
+
+    staged = stage_gold_features(spark, lake, year, month)
+    try:
+        check("gold", suites.gold_suite, staged)
+    except Exception:
+        _discard(spark, staged)
+        raise
+    outcome.rows.update(_publish(spark, staged))
     return outcome

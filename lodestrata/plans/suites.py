@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from lodestrata.operators import checks as c
 from lodestrata.operators.rules import in_period
 from lodestrata.sources.inventory import file_inventory, folders, partition_years
-from lodestrata.sources.lake import Lake
+from lodestrata.sources.lake import Lake, StagedPeriod
 
 # --- fixed values: table names, locations and thresholds -----------------------------
 
@@ -180,63 +180,86 @@ def _expected_years(
     return sorted({year} | (landed - {None}))
 
 
+def _found(
+    spark: SparkSession, lake: Lake, layer: str, name: str, path: str, staged: Sequence[StagedPeriod]
+) -> tuple[str, Callable[[], DataFrame], Callable[[], DataFrame]]:
+    """Where a period's files are, the partition years there will be, and the table as it will be: of a staged
+    period, or else of what is published."""
+    table = lake.table(layer, name)
+    period = next((p for p in staged if p.table == table), None)
+    if period is None:
+        return path, lambda: partition_years(spark, path), lambda: spark.table(table)
+
+    def years() -> DataFrame:
+        return partition_years(spark, path).union(partition_years(spark, period.base)).distinct()
+
+    return period.base, years, lambda: period.frame(spark)
+
+
 def silver_trip_suite(
-    spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
+    spark: SparkSession,
+    lake: Lake,
+    year: int,
+    month: int,
+    limits: SuiteLimits = DEFAULTS,
+    staged: Sequence[StagedPeriod] = (),
 ) -> list[Row]:
-    root = lake.path("silver", *TRIP_SOURCE)
+    """``staged``: periods to be judged before they are published, here and in the suites below."""
+    path = lake.path("silver", *TRIP_SOURCE)
+    root, partitions, trips = _found(spark, lake, "silver", TRIP_TABLE, path, staged)
     inventory = file_inventory(spark, root, year=year, month=month)
     years = _expected_years(spark, lake, TRIP_SOURCE, year, limits)
     return gated(
         file_checks(
-            inventory, limits.silver_trips, "silver", TRIP_TABLE, year, month, years,
-            partition_years(spark, root),
-        ),
-        lambda: silver_trip_checks(
-            spark.table(lake.table("silver", TRIP_TABLE)), year, month, limits, pruned=True
+            inventory, limits.silver_trips, "silver", TRIP_TABLE, year, month, years, partitions()
         ),
+        lambda: silver_trip_checks(trips(), year, month, limits, pruned=True),
     )
 
 
 def silver_weather_suite(
-    spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
+    spark: SparkSession,
+    lake: Lake,
+    year: int,
+    month: int,
+    limits: SuiteLimits = DEFAULTS,
+    staged: Sequence[StagedPeriod] = (),
 ) -> list[Row]:
     """Files of the year, days of the month."""
-    root = lake.path("silver", *WEATHER_SOURCE)
+    path = lake.path("silver", *WEATHER_SOURCE)
+    root, partitions, weather = _found(spark, lake, "silver", WEATHER_TABLE, path, staged)
     inventory = file_inventory(spark, root, year=year)
     years = _expected_years(spark, lake, WEATHER_SOURCE, year, limits)
     return gated(
         file_checks(
-            inventory, limits.silver_weather, "silver", WEATHER_TABLE, year, None, years,
-            partition_years(spark, root),
-        ),
-        lambda: silver_weather_checks(
-            spark.table(lake.table("silver", WEATHER_TABLE)), year, month
+            inventory, limits.silver_weather, "silver", WEATHER_TABLE, year, None, years, partitions()
         ),
+        lambda: silver_weather_checks(weather(), year, month),
     )
 
 
 def gold_suite(
-    spark: SparkSession, lake: Lake, year: int, month: int, limits: SuiteLimits = DEFAULTS
+    spark: SparkSession,
+    lake: Lake,
+    year: int,
+    month: int,
+    limits: SuiteLimits = DEFAULTS,
+    staged: Sequence[StagedPeriod] = (),
 ) -> list[Row]:
+    found = {
+        name: _found(spark, lake, "gold", name, lake.path("gold", FEATURE_SOURCE, name), staged)
+        for name in (DAILY_TABLE, HOURLY_TABLE)
+    }
     files = [
         file_checks(
-            file_inventory(spark, lake.path("gold", FEATURE_SOURCE, name), year=year, month=month),
-            limits.gold,
-            "gold",
-            name,
-            year,
-            month,
+            file_inventory(spark, root, year=year, month=month), limits.gold, "gold", name, year, month
         )
-        for name in (DAILY_TABLE, HOURLY_TABLE)
+        for name, (root, _, _) in found.items()
     ]
     return gated(
         files[0].unionByName(files[1]),
         lambda: gold_checks(
-            spark.table(lake.table("gold", DAILY_TABLE)),
-            spark.table(lake.table("silver", TRIP_TABLE)),
-            year,
-            month,
-            limits,
+            found[DAILY_TABLE][2](), spark.table(lake.table("silver", TRIP_TABLE)), year, month, limits
         ),
     )
 

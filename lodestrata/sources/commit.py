@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,6 +114,11 @@ def footer_rows(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
     return {p: found.get(p.rsplit("/", 1)[-1], 0) for p in paths}
 
 
+def total_rows(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Rows of Parquet files, from the footers in one job."""
+    return spark.read.schema(StructType([])).parquet(*paths).count() if paths else 0
+
+
 def described(files: Sequence[Entry], rows: dict[str, int] | None = None) -> list[dict]:
     """Sources as the ledger keeps them."""
     return [
@@ -122,43 +127,83 @@ def described(files: Sequence[Entry], rows: dict[str, int] | None = None) -> lis
     ]
 
 
-def replace_folder(
+@dataclass(frozen=True)
+class Staged:
+    """What is to take the place of a directory: ``new``, below ``base`` as the partition is below its dataset."""
+
+    place: Place
+    base: str
+    new: str
+    rows: int
+    others: Sequence[str] = ()
+
+
+def stage_folder(
     spark: SparkSession,
     root: str,
     target: str,
     write: Callable[[str], None],
-    sources: Sequence[dict],
+    sources: Sequence[dict] = (),
     expected: int | None = None,
     others: Sequence[str] = (),
-) -> int:
-    """Put what ``write`` writes to a path in the place of ``target``; returns its rows.
-
-    ``expected``: the rows it must have, if known.  ``others``: directories that the new one
-    replaces as well.  If anything fails, ``target`` holds what it held before."""
+) -> Staged:
+    """Have ``write`` write to a path that readers of the dataset do not see; then ``publish`` or
+    ``discard`` it.  ``expected``: the rows it must have, if known.  ``others``: directories that the
+    new one replaces as well."""
     place = Place.of(root, target)
     recover(spark, root, target)
-    staged = f"{place.staging}/new-{uuid.uuid4().hex}"
+    base = f"{place.staging}/new-{uuid.uuid4().hex}"
+    period = [p for p in place.target.split("/") if p.startswith(("year=", "month="))]
+    staged = Staged(place, base, "/".join([base, *period]), 0, tuple(others))
     try:
-        write(staged)
-        files = data_files(spark, staged)
-        rows = sum(footer_rows(spark, [e.path for e in files]).values())
+        write(staged.new)
+        below = [f.path for f in folders(spark, base)] or [base]
+        files = [e for path in below for e in data_files(spark, path)]
+        rows = total_rows(spark, [e.path for e in files])
         if expected is not None and rows != expected:
             raise RowsLost(f"{rows} rows written of {expected}")
+        own = [{"name": e.name, "length": e.length} for e in data_files(spark, staged.new)]
+        write_json(spark, f"{staged.new}/{MANIFEST}", {"sources": list(sources), "rows": rows, "files": own})
+    except Exception:
+        remove(spark, place.staging)
+        raise
+    return replace(staged, rows=rows)
+
+
+def publish(spark: SparkSession, staged: Staged) -> int:
+    """Put it in its place; returns its rows.  If that fails, the place holds what it held before."""
+    place = staged.place
+    try:
         write_json(
-            spark,
-            f"{staged}/{MANIFEST}",
-            {"sources": list(sources), "rows": rows, "files": [{"name": e.name, "length": e.length} for e in files]},
+            spark, place.record, {"new": staged.new, "target": place.target, "others": list(staged.others)}
         )
-        write_json(spark, place.record, {"new": staged, "target": place.target, "others": list(others)})
     except Exception:
-        remove(spark, place.staging)
+        discard(spark, staged)
         raise
     try:
         _swap(spark, place)
     except Exception:
         _undo(spark, place)
         raise
-    return rows
+    return staged.rows
+
+
+def discard(spark: SparkSession, staged: Staged) -> None:
+    remove(spark, staged.place.staging)
+
+
+def replace_folder(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    write: Callable[[str], None],
+    sources: Sequence[dict],
+    expected: int | None = None,
+    others: Sequence[str] = (),
+) -> int:
+    """Put what ``write`` writes to a path in the place of ``target``, see ``stage_folder``; returns
+    its rows.  If anything fails, ``target`` holds what it held before."""
+    return publish(spark, stage_folder(spark, root, target, write, sources, expected, others))
 
 
 def _swap(spark: SparkSession, place: Place) -> None:

@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lodestrata.operators.rules import in_period
-from lodestrata.sources.commit import changed, described, footer_rows, recover, replace_folder
+from lodestrata.sources.commit import (
+    Staged,
+    changed,
+    described,
+    footer_rows,
+    publish,
+    recover,
+    replace_folder,
+    stage_folder,
+)
 from lodestrata.sources.inventory import (
     Entry,
     Folder,
@@ -270,6 +279,97 @@ def overwrite_partitions(
     return rows
 
 
+@dataclass(frozen=True)
+class StagedPeriod:
+    """A period of a table that is written but not yet part of it."""
+
+    table: str
+    root: str
+    scope: Mapping[str, int]
+    columns: StructType
+    staged: Staged
+
+    @property
+    def rows(self) -> int:
+        return self.staged.rows
+
+    @property
+    def base(self) -> str:
+        """A dataset of this period alone, laid out as the table."""
+        return self.staged.base
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The table as it will be: the staged period, and the published rows of all others."""
+        keys = StructType([StructField(k, IntegerType()) for k in PERIOD])
+        schema = StructType([*self.columns, *keys])
+        if self.rows:
+            new = spark.read.schema(schema).parquet(self.base)
+        else:
+            new = spark.createDataFrame([], schema)
+        if not spark.catalog.tableExists(self.table):
+            return new
+        own = F.lit(True)
+        for key, value in self.scope.items():
+            own = own & (F.col(key) == value)
+        return new.unionByName(spark.table(self.table).filter(~own), allowMissingColumns=True)
+
+
+def stage_period(df: DataFrame, table: str, path: str, scope: Mapping[str, int]) -> StagedPeriod:
+    """Write the rows of a month, or with ``scope`` of a year alone of all its months, of a cleaned or feature
+    table where its readers do not see them.  ``publish_period`` then puts them in the place of
+    the period's partitions; until then, and if anything fails, the table is as it was.
+
+    Columns as ``overwrite_partitions`` has them.  A row outside the period is an error."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df = _as_stored(spark, df, table)
+    spelled = "/".join(f"{k}={v}" for k, v in scope.items())
+    there = [f for f in folders(spark, path, **scope) if "month" in scope or f.month is None]
+    outside = F.lit(False)
+    for key, value in scope.items():
+        outside = outside | ~F.col(key).eqNullSafe(value)
+    inner = [k for k in PERIOD if k not in scope]
+    stray = F.raise_error(F.lit(f"a row outside {dict(scope)}")).cast("boolean")
+    rows = df.filter(F.when(outside, stray).otherwise(True)).drop(*scope).hint("rebalance", *inner)
+    staged = stage_folder(
+        spark,
+        path,
+        f"{path.rstrip('/')}/{spelled}",
+        lambda to: (rows.write.partitionBy(*inner) if inner else rows.write).parquet(to),
+        others=[f.path for f in there if f.spelled != spelled],
+    )
+    columns = StructType([f for f in df.schema if f.name not in PERIOD])
+    return StagedPeriod(table, path, dict(scope), columns, staged)
+
+
+def publish_period(spark: SparkSession, period: StagedPeriod) -> int:
+    """Make a staged period part of its table, creating it if need be; returns the rows."""
+    publish(spark, period.staged)
+    if not period.rows:
+        remove(spark, period.staged.place.target)
+    table, scope = period.table, period.scope
+    if not spark.catalog.tableExists(table):
+        _external_table(spark, table, period.root, period.columns, PERIOD)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    there = {
+        (f.year, f.month): f.path for f in folders(spark, period.root, **scope) if f.month is not None
+    }
+    known = ", ".join(f"{k} = {v}" for k, v in scope.items())
+    listed = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({known})").collect()]
+    for name in listed:
+        if tuple(_number(p.partition("=")[2]) for p in name.split("/")) not in there:
+            _drop_partition(spark, table, name)
+    if any(name != "/".join(f"{k}={_number(v)}" for k, _, v in (p.partition("=") for p in name.split("/"))) for name in listed):
+        # Under another spelling, such as month=03, only a repair takes a partition out.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    for (year, month), path in there.items():
+        spec = f"year = {year}, month = {month}"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return period.rows
+
+
 def _number(value: object) -> object:
     """Partition values compare as numbers where they are numbers."""
     text = str(value)

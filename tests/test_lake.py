@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,16 +13,19 @@ from lodestrata.plans import suites
 from lodestrata.plans.monthly import QualityError, exact_report, run_month, silver_trips
 from lodestrata.plans.trips import TRIPS
 from lodestrata.session import shuffles_sized_for
+from lodestrata.sources.commit import discard
 from lodestrata.sources.inventory import file_inventory, list_files
 from lodestrata.sources.lake import (
     Lake,
     _written,
     land_periods,
     overwrite_partitions,
+    publish_period,
     read_features,
     read_observations,
     read_partition,
     register_external,
+    stage_period,
     write_partitions,
 )
 
@@ -397,6 +401,73 @@ def test_a_missing_weather_day_stops_before_gold(spark, landing):
     assert not spark.catalog.tableExists(lake.table("gold", "trip_weather_daily"))
 
 
+def whole(spark, table):
+    return sorted(map(str, spark.table(table).collect()))
+
+
+def left_behind(root):
+    return [d for d, _, files in os.walk(root) if "/_landing/" in d and files]
+
+
+@pytest.mark.parametrize(
+    "limits, suite, tables",
+    [
+        ({"min_rows": 10**6}, "silver_trips", ("silver.yellow_taxi_trips", "silver.nyc_weather_daily")),
+        ({"silver_weather": suites.FileLimits(10**9, 50)}, "silver_weather", ("silver.yellow_taxi_trips",)),
+        ({"gold": suites.FileLimits(10**9)}, "gold", ("gold.trip_weather_daily", "gold.location_hourly_features")),
+    ],
+)
+def test_a_failing_month_keeps_its_old_rows(spark, landing, limits, suite, tables):
+    root, month, weather = landing
+    lake = lake_of(spark, root)
+    month(2024, 1, 31)
+    csv = weather(2024)
+    run_month(spark, lake, 2024, 1, root + "/landing", csv, SMALL)
+    names = [lake.table(*t.split(".")) for t in tables]
+    before = [whole(spark, n) for n in names]
+    month(2024, 1, 30)  # a day less
+    with pytest.raises(QualityError, match=suite):
+        run_month(spark, lake, 2024, 1, root + "/landing", csv, replace(SMALL, **limits), skip_existing=False)
+    assert [whole(spark, n) for n in names] == before
+    assert not left_behind(root)
+    month(2024, 1, 31)
+    out = run_month(spark, lake, 2024, 1, root + "/landing", csv, SMALL, skip_existing=False)
+    assert out.rows["yellow_taxi_trips"] == 31 * 12 and [whole(spark, n) for n in names] == before
+
+
+def test_a_staged_period(spark, scratch):
+    t, path = fresh_name(), scratch + "/t"
+    first = stage_period(frame(spark, (1, 2024, 1)), t, path, {"year": 2024, "month": 1})
+    assert not spark.catalog.tableExists(t) and first.rows == 1
+    assert [tuple(r) for r in first.frame(spark).collect()] == [(1, 2024, 1)]
+    assert publish_period(spark, first) == 1 and stored(spark, t) == [(1, 2024, 1)]
+    wide = frame(spark, (2, 2024, 2), (3, 2024, 2)).withColumn("extra", F.lit("x"))
+    publish_period(spark, stage_period(wide, t, path, {"year": 2024, "month": 2}))
+    again = stage_period(frame(spark, (7, 2024, 1)), t, path, {"year": 2024, "month": 1})
+    assert stored(spark, t) == [(1, 2024, 1), (2, 2024, 2), (3, 2024, 2)]
+    assert sorted(r.v for r in again.frame(spark).collect()) == [2, 3, 7]
+    discard(spark, again.staged)
+    assert [tuple(r) for r in spark.table(t).select("v", "extra").orderBy("v").collect()] == [(1, None), (2, "x"), (3, "x")]
+    year = stage_period(frame(spark, (4, 2024, 2), (5, 2024, 12)), t, path, {"year": 2024})
+    assert year.rows == 2 and publish_period(spark, year) == 2
+    assert stored(spark, t) == [(4, 2024, 2), (5, 2024, 12)]
+    nothing = stage_period(frame(spark, (9, 2024, 2)).filter("v > 9"), t, path, {"year": 2024, "month": 2})
+    assert publish_period(spark, nothing) == 0 and stored(spark, t) == [(5, 2024, 12)]
+    assert list_files(spark, path).count() == 1
+    with pytest.raises(Exception, match="outside"):
+        stage_period(frame(spark, (1, 2024, 3)), t, path, {"year": 2024, "month": 4})
+    assert stored(spark, t) == [(5, 2024, 12)] and not left_behind(path)
+
+
+def test_a_staged_period_in_padded_directories(spark, scratch):
+    t, path = fresh_name(), scratch + "/t"
+    overwrite_partitions(frame(spark, (1, 2024, 3), (2, 2024, 4)), t, path)
+    os.rename(path + "/year=2024/month=3", path + "/year=2024/month=03")
+    spark.sql(f"MSCK REPAIR TABLE {t} SYNC PARTITIONS")
+    publish_period(spark, stage_period(frame(spark, (8, 2024, 3)), t, path, {"year": 2024, "month": 3}))
+    assert stored(spark, t) == [(2, 2024, 4), (8, 2024, 3)]
+
+
 def test_a_month_that_has_not_arrived(spark, landing):
     root, _, weather = landing
     with pytest.raises(FileNotFoundError):
