@@ -458,13 +458,13 @@ def test_shuffles_of_gold_and_weather_grow_with_the_input(spark, landing, monkey
     month(2024, 1, 31)
     monkeypatch.setattr(session, "SHUFFLE_BYTES_PER_TASK", 1000)
     seen = []
-    inner = monthly.overwrite_partitions
+    inner = monthly.stage_period
 
     def spy(df, table, *args, **options):
         seen.append((table, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         return inner(df, table, *args, **options)
 
-    monkeypatch.setattr(monthly, "overwrite_partitions", spy)
+    monkeypatch.setattr(monthly, "stage_period", spy)
     run_month(spark, lake, 2024, 1, root + "/landing", weather(2024), SMALL)
     by = {t.split(".")[1]: n for t, n in seen}
     assert by["trip_weather_daily"] > 4 and by["location_hourly_features"] > 4 and by["yellow_taxi_trips"] > 4
