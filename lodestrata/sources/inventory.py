@@ -134,6 +134,7 @@ def _scan(spark: SparkSession, places: Sequence[Folder], pattern: str, whole: bo
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
+        .option("ignoreMissingFiles", True)  # one that is removed meanwhile is not there
         .option("pathGlobFilter", pattern)
         .load([f.path for f in places])
         .select("path", "length", "modificationTime")
