@@ -9,9 +9,12 @@ differ in at most (x + y)/9 <= x/4 shingles.
 Pigeonhole.  A size band holds sets of 2^j up to 5/2 2^j shingles (a set at the bottom of
 one is in the band below too, so two similar sets always share a band).  In a band the sketch is
 cut into blocks, kept sparse: a block is the XOR of the codes of its toggled bits.  With
-at most k = x/4 differing blocks, the first k + 1 non-empty blocks of two similar sets have one in
-common (prefix filter over blocks in order).  Sets with no more than k non-empty blocks send
-all their blocks, empty ones too.
+at most k = x/4 differing blocks, the first k + 1 non-empty blocks of two similar sets, in any
+order that is the same for all sets, have one in common: the first that they share (prefix
+filter).  The order is rare blocks first, by a table of how many sets hold a block, counted over
+all of them in ``COUNTERS`` hashed counters and kept as powers of two; so a line that very
+many documents hold brings few of them together.  Sets with no more than k non-empty blocks
+send all their blocks, empty ones too.
 
 Groups.  Equal sets are one node from the start.  Nodes that share a block are linked to the
 group's smallest node, the one they share most blocks with first, and those pairs are verified
@@ -39,6 +42,8 @@ CHUNK = 2048
 #: Tables of links and nodes of up to so many rows (16 bytes each) are broadcast or handled
 #: in one task; larger ones are shuffled.
 SMALL = 200_000
+#: Counters of blocks; a block stands out where it is in more sets than others fall on one.
+COUNTERS = 1 << 20
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -107,15 +112,15 @@ def blocks_in(band: int) -> int:
     return 2 * top if top <= 20 else -(-35 * top // 100)
 
 
-def block_keys(own: np.ndarray) -> np.ndarray:
-    """Keys of the blocks that a set sends.  Sets of up to three shingles have no
-    similar set but themselves."""
+def block_keys(own: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Keys of a set's non-empty blocks, and how many each band has.  Where a band has no
+    more than k of them, those of its empty blocks follow, and the number is negative.  Sets
+    of up to three shingles have no similar set but themselves."""
     n = len(own)
     if n < 4:
-        return np.zeros(0, np.uint64)
-    k = n // 4
+        return np.zeros(0, np.uint64), []
     codes = mix(own + _BASE)
-    keys = []
+    keys, counts = [], []
     for band in bands_of(n):
         blocks = blocks_in(band)
         block = (own >> _U(17)) % _U(blocks)
@@ -123,14 +128,29 @@ def block_keys(own: np.ndarray) -> np.ndarray:
         sorted_ = block[order]
         begin = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
         numbers, values = sorted_[begin], np.bitwise_xor.reduceat(codes[order], begin)
-        if len(numbers) > k:
-            numbers, values = numbers[: k + 1], values[: k + 1]
-        else:
+        counts.append(len(numbers))
+        if len(numbers) <= n // 4:
             empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), numbers)
             numbers = np.append(numbers, empty)
             values = np.append(values, np.zeros(len(empty), np.uint64))
+            counts[-1] = -blocks
         keys.append(mix(values ^ mix(numbers + _U(band << 40))))
-    return np.concatenate(keys)
+    return np.concatenate(keys), counts
+
+
+def counter_of(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) >> _U(11)).astype(np.int64) & (COUNTERS - 1)
+
+
+def rarest(keys: np.ndarray, counts: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Places of the keys to send: of every run of ``counts`` keys, of a set of ``sizes``
+    shingles, the k + 1 of the lowest class, ties by key; of negative counts all."""
+    run = np.repeat(np.arange(len(counts)), np.abs(counts))
+    order = np.lexsort((keys, classes[counter_of(keys)], run))
+    begin = np.cumsum(np.abs(counts)) - np.abs(counts)
+    rank = np.arange(len(keys)) - np.repeat(begin, np.abs(counts))
+    limit = np.where(counts < 0, -counts, sizes // 4 + 1)
+    return order[rank < np.repeat(limit, np.abs(counts))]
 
 
 # --- dense sketches ----------------------------------------------------------------
@@ -210,8 +230,8 @@ def forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, node, block keys and dense sketch of every row; null node for
-    an empty set."""
+    """doc_id, n_shingles, node, block keys with their number in each band, and dense sketch
+    of every row; null node for an empty set."""
 
     def make():
         def work(texts: list[str | None]) -> list:
@@ -219,30 +239,72 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             return [
                 [len(s) for s in sets],
                 [node_of(s) if len(s) else None for s in sets],
-                _keys_once(sets),
+                *_keys_once(sets),
                 [sketch_of(s).tobytes() if len(s) else None for s in sets],
             ]
 
         seen: set[int] = set()
 
-        def _keys_once(sets: list[np.ndarray]) -> pa.Array:
+        def _keys_once(sets: list[np.ndarray]) -> tuple[pa.Array, list[list[int]]]:
             # A task sends the keys of equal sets once.
-            keys = []
+            keys, counts = [], []
             for s in sets:
                 node = node_of(s) if len(s) else None
-                keys.append(block_keys(s) if node is not None and node not in seen else s[:0])
+                own, bands = block_keys(s if node not in seen else s[:0])
+                keys.append(own)
+                counts.append(bands)
                 seen.add(node)
-            counts = np.fromiter(map(len, keys), np.int64, len(keys))
-            return list_array(np.concatenate(keys).view(np.int64), counts)
+            sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+            return list_array(np.concatenate(keys).view(np.int64), sizes), counts
 
         return work
 
     schema = [("n_shingles", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64())),
-              ("sketch", pa.binary())]
+              ("bands", pa.list_(pa.int32())), ("sketch", pa.binary())]
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return map_texts(source, "text", schema, make, ["doc_id"])
 
 
+def _classes(keyed: DataFrame) -> np.ndarray:
+    """Of each counter, the power of two of how many sets it counts.  The driver takes
+    one number of at most ``COUNTERS``, whatever the number of sets."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            keys = batch.column(0).flatten().to_numpy()
+            total += np.bincount(counter_of(keys), minlength=COUNTERS)
+        used = np.flatnonzero(total)
+        for at in range(0, len(used), 1 << 16):
+            part = used[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["counter", "n"])
+
+    counted = keyed.select("keys").mapInArrow(count, "counter bigint, n bigint")
+    whole = counted.groupBy("counter").agg(F.sum("n").alias("n"))
+    # A block of one set, as most are, is of class 0 like one that is not counted.
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    found = whole.select("counter", power).where("power > 0").toArrow()
+    classes = np.zeros(COUNTERS, np.uint8)
+    classes[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return classes
+
+
+def _sent(keyed: DataFrame, classes: np.ndarray) -> DataFrame:
+    """(key, node) of the rarest blocks of each set."""
+    shared = keyed.sparkSession.sparkContext.broadcast(classes)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, len(b), 500)):
+            keys, bands = batch.column(2).flatten().to_numpy(), batch.column(3)
+            of = np.repeat(np.arange(len(bands)), np.diff(bands.offsets.to_numpy()))
+            counts = bands.flatten().to_numpy().astype(np.int64)
+            places = rarest(keys, counts, batch.column(1).to_numpy()[of], shared.value)
+            node = np.repeat(batch.column(0).to_numpy()[of], np.abs(counts))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[places]), pa.array(node[places])], ["key", "node"])
+
+    return keyed.select("node", "n_shingles", "keys", "bands").mapInArrow(pick, "key bigint, node bigint")
+
+
 def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, node) in order to (key, node, rep): nodes that share the key with a smaller
     node, the smallest of the key as ``rep``.  Holds one batch and one row."""
@@ -445,9 +507,10 @@ def join(
     if percent < 80:
         raise ValueError("the bands and blocks hold for a similarity of 4/5 or more")
     rows = stored(_documents(docs.where(F.col(f"`{doc_id}`").isNotNull()), doc_id, text), "shingled")
-    keyed = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "node")
+    keyed = rows.where(F.size("keys") > 0)
     live = stored(
-        keyed.repartition("key")
+        _sent(keyed, _classes(keyed))
+        .repartition("key")
         .sortWithinPartitions("key", "node")
         .mapInArrow(_shared_blocks, "key bigint, node bigint, rep bigint"),
         "blocks",

@@ -104,11 +104,17 @@ def test_lower_thresholds_are_refused(documents):
         j.join(documents([]), percent=79)
 
 
+def sent(own, classes):
+    keys, counts = j.block_keys(own)
+    return keys[j.rarest(keys, np.array(counts, np.int64), np.full(len(counts), len(own)), classes)]
+
+
 def test_blocks_of_similar_sets_meet():
-    """Sets at the bound always have a block in common, whatever their size."""
+    """Sets at the bound always have a block in common, whatever their size and the order."""
     rng = np.random.default_rng(3)
     for _ in range(400):
         x = int(rng.integers(4, 400))
+        classes = rng.integers(0, 30, j.COUNTERS).astype(np.uint8) * rng.integers(0, 2)
         a = np.unique(rng.integers(0, 1 << 63, x, dtype=np.uint64))
         b = np.unique(np.append(a, rng.integers(0, 1 << 63, len(a) // 4, dtype=np.uint64)))
         swap = len(a) // 9
@@ -116,7 +122,30 @@ def test_blocks_of_similar_sets_meet():
         for other in (b, c):
             common = len(np.intersect1d(a, other))
             if 100 * common >= 80 * (len(a) + len(other) - common):
-                assert len(np.intersect1d(j.block_keys(a), j.block_keys(other)))
+                assert len(np.intersect1d(sent(a, classes), sent(other, classes)))
                 width = min(len(j.sketch_of(a)), len(j.sketch_of(other)))
                 d = np.bitwise_count(j.folded(j.sketch_of(a), width) ^ j.folded(j.sketch_of(other), width)).sum()
                 assert d <= len(a) + len(other) - 2 * common
+
+
+def test_one_line_in_all_documents_brings_few_together(documents, prose):
+    """Of 76 shingles 16 are the same in all: pairs that share a block sent stay few."""
+    line = prose(20, 1)
+    rows = [(i, f"{prose(56, 50 + i)} {line}") for i in range(300)]
+    rows += [(1000 + i, edited(rows[i][1], 1, i)) for i in range(10)]
+    check(documents, rows)
+    sets = j.shingle_sets([t for _, t in rows])
+    totals = np.zeros(j.COUNTERS, np.int64)
+    for s in sets:
+        totals += np.bincount(j.counter_of(j.block_keys(s)[0]), minlength=j.COUNTERS)
+    classes = np.log2(np.maximum(totals, 1)).astype(np.uint8)
+    largest = {}
+    for name, order in (("rare", classes), ("any", np.zeros(j.COUNTERS, np.uint8))):
+        keys = np.concatenate([sent(s, order) for s in sets])
+        largest[name] = np.unique(keys, return_counts=True)[1].max()
+    assert largest["rare"] <= 4 and largest["any"] > 20
+
+
+def test_one_very_long_text(documents, prose):
+    text = prose(60_000, 4)
+    check(documents, [(1, text), (2, edited(text, 500, 3)), (3, prose(300, 5)), (4, edited(text, 5000, 6))])
